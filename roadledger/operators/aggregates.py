@@ -171,3 +171,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def at_least(df: DataFrame, n: int) -> bool:
     """Whether there are ``n`` rows, reading no more than that."""
     return df.limit(n).count() >= n
+
+
+def best_row(df: DataFrame, measure: str, sequence: str) -> DataFrame:
+    """The row with the greatest measure, the first in sequence among equals."""
+    return df.orderBy(F.desc(measure), sequence).limit(1)
