@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadledger.catalog.registry import table
-from roadledger.schemas import DIM_SEVERITY, SEVERITY_ROWS
+from roadledger.schemas import severity_rows
 
 ISO_DAY = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
 HOUR = "(o_custkey % 24)"
@@ -205,9 +205,9 @@ def star_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     weather = named.join(weather_rows(named), F.expr("weather_conditions <=> weather_condition")).drop("weather_conditions")
     return {
         "fact_incidents": facts,
-        "dim_date": date_rows(facts.select("date_key")),
+        "dim_date": date_rows(orders.selectExpr(f"{_FACT['date_key']} AS date_key")),
         "dim_location": places,
         "dim_road": table(spark, sf_dir, "part").selectExpr(*columns(_ROAD)),
         "dim_weather": weather,
-        "dim_severity": spark.createDataFrame(SEVERITY_ROWS, DIM_SEVERITY).drop("severity_description"),
+        "dim_severity": severity_rows(spark).drop("severity_description"),
     }

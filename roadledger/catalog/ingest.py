@@ -212,7 +212,7 @@ def concat_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_warehouse(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, str]:
     warehouse = Warehouse(spark, fresh_path(spark, "warehouse"))
     warehouse.init()
-    warehouse.append("stg_incidents", collisions.tagged(feed(spark, sf_dir).select(*STAGED), "batch_acc_feed"))
+    warehouse.put_batch("stg_incidents", collisions.tagged(feed(spark, sf_dir).select(*STAGED), "batch_acc_feed"), "batch_acc_feed")
     return warehouse, "batch_acc_feed"
 
 

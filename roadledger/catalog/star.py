@@ -208,7 +208,7 @@ _EVENT_WEATHER = "CASE event_type WHEN 'click' THEN 'Fine no high winds' WHEN 'v
 
 @query("c_weather_enrich", f"""WITH i AS (SELECT event_id, ts, {', '.join(_INCIDENT)}, {_EVENT_WEATHER} AS weather_conditions FROM events),
 w AS (SELECT round(latitude, 2) AS la, round(longitude, 2) AS lo, date_trunc('hour', ts) AS h, min(t) AS t, min(p) AS p
-  FROM (SELECT ts, {', '.join(_READING)}, round(value, 2) AS t, CASE WHEN value > 20 THEN round(value / 10, 2) END AS p FROM events WHERE event_type = 'purchase') GROUP BY 1, 2, 3)
+  FROM (SELECT ts, {', '.join(_READING)}, value AS t, CASE WHEN value > 20 THEN value / 10 END AS p FROM events WHERE event_type = 'purchase') GROUP BY 1, 2, 3)
 SELECT event_id, coalesce(t, d.temperature_c) AS temperature_c, coalesce(p, d.precipitation_mm) AS precipitation_mm
 FROM i JOIN (SELECT weather_condition, {inferred_list_sql('weather_condition')} FROM (SELECT DISTINCT weather_conditions AS weather_condition FROM i)) d
   ON i.weather_conditions = d.weather_condition
@@ -217,8 +217,8 @@ def weather_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     places = events.selectExpr("event_id", "ts AS dt", *_INCIDENT, f"{_EVENT_WEATHER} AS weather_conditions")
     readings = events.where("event_type = 'purchase'").selectExpr(
-        "ts AS weather_timestamp", *_READING, "round(value, 2) AS temperature_2m",
-        "CASE WHEN value > 20 THEN round(value / 10, 2) END AS precipitation", "CAST(NULL AS DOUBLE) AS visibility",
+        "ts AS weather_timestamp", *_READING, "value AS temperature_2m",
+        "CASE WHEN value > 20 THEN value / 10 END AS precipitation", "CAST(NULL AS DOUBLE) AS visibility",
         "CAST(NULL AS DOUBLE) AS wind_speed_10m")
     return plan.with_site_weather(places, readings).select("event_id", "temperature_c", "precipitation_mm")
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,7 +15,9 @@ from roadledger.operators.dedup import distinct_rows, keep_first
 from roadledger.operators.gate import Rule, accounting, envelopes, incident_gate, passed
 from roadledger.operators.joins import attach_weather, lookup_key, only_new, star_join
 from roadledger.operators.ordering import number_rows
-from roadledger.session import written
+from roadledger.schemas import READING_ORDER
+from roadledger.session import side_by_side, written
+from roadledger.sources.collisions import PLACE
 from roadledger.sources.reports import save_quarantine_summary
 from roadledger.sources.warehouse import Warehouse
 
@@ -36,13 +39,13 @@ def prepared(valid: DataFrame, day_first: bool = True, fallback: str | None = UN
 
 def date_rows(incidents: DataFrame) -> DataFrame:
     """One row per hour; everything else follows from the key, so only keys are made distinct."""
-    key = F.col("date_key")
-    start = F.make_timestamp_ntz(
-        F.floor(key / 1000000).cast("int"), (F.floor(key / 10000) % 100).cast("int"),
-        (F.floor(key / 100) % 100).cast("int"), (key % 100).cast("int"), F.lit(0),
-        F.lit(0).cast("decimal(8,6)"))
+    parts = {"year": "date_key div 1000000", "month": "date_key div 10000 % 100",
+             "day": "date_key div 100 % 100", "hour": "date_key % 100"}
+    start = F.expr("make_timestamp_ntz({year}, {month}, {day}, {hour}, 0, 0)".format(
+        **{name: f"cast({e} as int)" for name, e in parts.items()}))
     hours = incidents.select("date_key").distinct().withColumn("_start", start)
-    return hours.select(*[c.alias(name) for name, c in calendar_columns(F.col("_start")).items()])
+    derived = calendar_columns(F.col("_start")) | {"date_key": F.col("date_key")}
+    return hours.select(*[c.alias(name) for name, c in derived.items()])
 
 
 def location_rows(incidents: DataFrame, region: str = REGION) -> DataFrame:
@@ -87,7 +90,7 @@ def with_dimension_keys(incidents: DataFrame, locations: DataFrame, roads: DataF
     return lookup_key(keyed, weather, {"weather_conditions": "weather_condition"}, "weather_key", null_safe=True)
 
 
-def fact_rows(keyed: DataFrame, order: tuple[str, ...] = ("batch_id", "arrival")) -> DataFrame:
+def fact_rows(keyed: DataFrame, order: Sequence[str] = READING_ORDER) -> DataFrame:
     """One row per accident index, the first in reading order."""
     return keep_first(keyed.select(*FACT_COLUMNS, *order), ["accident_index"], list(order)).select(*FACT_COLUMNS)
 
@@ -112,10 +115,10 @@ def validate_and_quarantine(warehouse: Warehouse, batch_id: str | None = None,
         unreadable = incident_time(F.col("accident_date"), F.col("accident_time"), day_first, None).isNull()
         extra = [Rule("UNPARSEABLE_DATETIME", "Accident date or time is no real time", unreadable)]
     staged = warehouse.read("stg_incidents", batch_id)
-    gated = written(incident_gate(staged, order=("ingested_at", "batch_id", "arrival"), extra_rules=extra), "gated")
+    gated = written(incident_gate(staged, order=READING_ORDER, extra_rules=extra), "gated")
     counts = accounting(gated).first().asDict()
     if counts["rejected"]:
-        payload = [c for c in staged.columns if c != "arrival"]
+        payload = [c for c in staged.columns if c not in PLACE]
         records = envelopes(gated, "stg_accidents_raw", "accident_index", payload, ordinal="arrival")
         fresh = only_new(records, warehouse.read("quarantine", batch_id), ["batch_id", "arrival"])
         base = warehouse.max_key("quarantine", "rejection_id")
@@ -135,10 +138,11 @@ def load_star(warehouse: Warehouse, valid: DataFrame, day_first: bool = True,
     shuffle that would make sure of it.
     """
     incidents = prepared(valid, day_first)
-    extend_dimension(warehouse, "dim_date", date_rows(incidents), None, ["date_key"])
-    extend_dimension(warehouse, "dim_location", location_rows(incidents), "location_key", LOCATION_KEY_COLUMNS)
-    extend_dimension(warehouse, "dim_road", road_rows(incidents), "road_key", ROAD_KEY_COLUMNS)
-    extend_dimension(warehouse, "dim_weather", weather_rows(incidents), "weather_key", ["weather_condition"])
+    side_by_side(
+        lambda: extend_dimension(warehouse, "dim_date", date_rows(incidents), None, ["date_key"]),
+        lambda: extend_dimension(warehouse, "dim_location", location_rows(incidents), "location_key", LOCATION_KEY_COLUMNS),
+        lambda: extend_dimension(warehouse, "dim_road", road_rows(incidents), "road_key", ROAD_KEY_COLUMNS),
+        lambda: extend_dimension(warehouse, "dim_weather", weather_rows(incidents), "weather_key", ["weather_condition"]))
     keyed = with_dimension_keys(incidents, warehouse.read("dim_location"), warehouse.read("dim_road"),
                                 warehouse.read("dim_weather"), full_location_key)
     facts = keyed.select(*FACT_COLUMNS) if unique else fact_rows(keyed)
@@ -191,8 +195,7 @@ def marts(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 def refresh_marts(warehouse: Warehouse) -> None:
     tables = star_tables(warehouse)
-    for name, mart in marts(tables).items():
-        warehouse.save_mart(name, mart)
+    side_by_side(*[partial(warehouse.save_mart, name, mart) for name, mart in marts(tables).items()])
     star(tables, VIEW_COLUMNS).createOrReplaceTempView("v_model_training_dataset")
 
 

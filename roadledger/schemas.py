@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 S, I, L, D, B = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType()
 TS = T.TimestampType()
@@ -55,14 +55,16 @@ INGESTION_AUDIT = _layout(
     ("error_message", S),
 )
 
-# ``arrival`` numbers the rows of a batch in the order they were read; the first of several
-# records with one key is the one with the least (batch arrival time, arrival).
+# ``arrival`` is unique in a batch and follows the lines within a block of a source file, so the
+# columns of READING_ORDER put all rows in the order of their files and lines.
+READING_ORDER = ["ingested_at", "batch_id", "source_file", "source_block", "arrival"]
 STG_INCIDENTS = _layout(
     ("accident_index", S), ("accident_date", S), ("accident_time", S), ("latitude", COORD),
     ("longitude", COORD), ("accident_severity", S), ("number_of_vehicles", I),
     ("number_of_casualties", I), ("speed_limit", I), ("road_type", S), ("light_conditions", S),
     ("weather_conditions", S), ("road_surface_conditions", S), ("urban_or_rural_area", S),
-    ("local_authority", S), ("ingested_at", TS), ("arrival", L), ("batch_id", S),
+    ("local_authority", S), ("ingested_at", TS), ("source_file", S), ("source_block", L), ("arrival", L),
+    ("batch_id", S),
 )
 
 STG_WEATHER = _layout(
@@ -121,6 +123,14 @@ SEVERITY_ROWS = [
     (3, 3, "Slight", "Accidents involving minor or slight injuries"),
 ]
 
+
+def severity_rows(spark: SparkSession) -> DataFrame:
+    """The severity dimension as inline rows, whose size the planner knows."""
+    rows = ", ".join(f"({key}, {code}, '{name}', '{text}')" for key, code, name, text in SEVERITY_ROWS)
+    names = ", ".join(DIM_SEVERITY.fieldNames())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS severity({names})")
+
+
 TABLES = {
     "ingestion_audit": INGESTION_AUDIT,
     "stg_incidents": STG_INCIDENTS,

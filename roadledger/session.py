@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,3 +69,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def side_by_side(*jobs: Callable[[], object]) -> list:
+    """Runs independent writes at the same time, so that small ones do not leave the cluster idle."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
