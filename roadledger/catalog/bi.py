@@ -85,14 +85,14 @@ _PAIRS = [("urban_or_rural", "severity_name"), ("time_of_day", "severity_name"),
     f"CAST({b} AS VARCHAR) AS second_value, count(*) AS records FROM s WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 3, 4"
     for a, b in _PAIRS))
 def cross_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dashboard(spark, sf_dir)
-    out = None
-    for a, b in _PAIRS:
-        part = aggregates.cross_counts(rows, a, b).select(
-            F.lit(a).alias("first_name"), F.lit(b).alias("second_name"), F.col(a).cast("string").alias("first_value"),
-            F.col(b).cast("string").alias("second_value"), "records")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return aggregates.cross_counts_of(dashboard(spark, sf_dir), _PAIRS)
+
+
+@query("e_area_severity", f"""WITH {STAR_SQL} SELECT urban_or_rural, severity_name, count(*) AS records FROM fact_incidents
+JOIN dim_location USING (location_key) JOIN dim_severity USING (severity_key) GROUP BY 1, 2""")
+def area_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = star(star_frames(spark, sf_dir), {"dim_location": ["urban_or_rural"], "dim_severity": ["severity_name"]}, [])
+    return aggregates.cross_counts(rows, "urban_or_rural", "severity_name")
 
 
 @query("e_weekend_sums", f"""WITH {STAR_SQL} SELECT CASE WHEN is_weekend THEN 'Weekend (Sat-Sun)' ELSE 'Weekday (Mon-Fri)' END AS weekend_label,

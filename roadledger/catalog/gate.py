@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from roadledger.catalog.feed import ARRIVAL_COLUMNS, FEED, FEED_SQL, GATED_SQL, ROW_ID, feed
 from roadledger.catalog.registry import query
 from roadledger.operators import gate
+from roadledger.session import written
 from roadledger.sources.reports import quarantine_summary
 
 
 def gated_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gate.incident_gate(feed(spark, sf_dir), order=ARRIVAL_COLUMNS, row_id=ROW_ID)
+    staged = written(feed(spark, sf_dir), "staged")
+    return gate.incident_gate(staged, order=ARRIVAL_COLUMNS, row_id=ROW_ID)
 
 
 @query("b_gate_reasons", f"SELECT accident_index, arrived_at, arrival_price, rejection_reason FROM ({GATED_SQL})")

@@ -87,6 +87,17 @@ def cross_counts(df: DataFrame, first: str, second: str, name: str = "records")
     return df.dropna(subset=[first, second]).groupBy(first, second).agg(F.count("*").alias(name))
 
 
+def cross_counts_of(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Counts of several column pairs in one pass: (first_name, second_name, first_value, second_value,
+    records), values as text. Each row is opened into one entry per pair and added up at once."""
+    entries = F.array(*[
+        F.struct(F.lit(a).alias("first_name"), F.lit(b).alias("second_name"),
+                 F.col(a).cast("string").alias("first_value"), F.col(b).cast("string").alias("second_value"))
+        for a, b in pairs])
+    opened = df.select(F.explode(entries).alias("e")).select("e.*").dropna()
+    return opened.groupBy(*opened.columns).agg(F.count("*").alias("records"))
+
+
 def weekend_sums(df: DataFrame, flag: str, by: str, amount: str, name: str) -> DataFrame:
     return (df.dropna(subset=[by])
             .groupBy(weekend_label(F.col(flag)).alias("weekend_label"), by)

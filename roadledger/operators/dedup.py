@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from roadledger.operators.joins import sized_join
+from roadledger.session import written
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of every key in the given order; nulls count as one key value."""
@@ -17,18 +20,24 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 def flag_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str], row_id: Sequence[str],
                  name: str = "is_repeat") -> DataFrame:
-    """Marks every row but the first of its key.
+    """Marks every row but the first of its key; nulls count as one key value.
 
-    The least (order, row id) per key is a partial aggregate, and only its unique row id is joined
-    back. The join therefore spreads evenly even if one key holds most of the rows, which a
-    window partitioned by the key would not.
+    Three narrow steps come before the wide rows are touched: keys held twice or more (a count,
+    reduced before its shuffle), the rows of those keys, and among them all but the least per key.
+    What is joined to the wide rows is the unique ids of the repeats: broadcast while there are few,
+    else spread evenly, even if one key holds most rows. ``df`` should be a stored table.
     """
-    firsts = (df.groupBy(*keys)
-              .agg(F.min(F.struct(*order, *[F.col(c).alias(f"_id{i}") for i, c in enumerate(row_id)])).alias("_least"))
-              .select(*[F.col(f"_least._id{i}").alias(c) for i, c in enumerate(row_id)],
-                      F.lit(True).alias("_first")))
-    return (df.join(firsts, list(row_id), "left")
-            .withColumn(name, F.col("_first").isNull()).drop("_first"))
+    several = written(df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys), "several")
+    if several.isEmpty():
+        return df.withColumn(name, F.lit(False))
+    narrow = df.select(*dict.fromkeys([*keys, *order, *row_id]))
+    rows = sized_join(narrow, several, keys, "inner", null_safe=True)
+    ids = {f"_id{i}": F.col(c) for i, c in enumerate(row_id)}
+    least = rows.groupBy(*keys).agg(F.min(F.struct(*order, *[c.alias(i) for i, c in ids.items()])).alias("_least"))
+    firsts = least.select(*[F.col(f"_least.{i}").alias(c) for i, c in zip(ids, row_id)])
+    repeats = written(rows.select(*row_id).join(firsts, list(row_id), "left_anti"), "repeats")
+    marked = repeats.withColumn(name, F.lit(True))
+    return sized_join(df, marked, row_id, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Key lookups, star joins, insert-or-ignore and constraint checks.
 
-No join here carries a broadcast hint for a table that can grow: Spark broadcasts a side by its
-measured size, before or during the run, and shuffles it otherwise. What may be hot is the key of
-the big side, so the shuffled case can salt exactly the keys found to be hot.
+A side is broadcast only after it was counted, or where Spark itself knows its size; beyond that it
+is shuffled. What may be hot then is a key of the big side, so the shuffled case salts exactly the
+keys found to be hot.
 """
 
 from __future__ import annotations
@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # At most this many keys can each hold more than 1/256 of the rows, so the list is bounded.
 HOT_KEY_LIMIT = 256
 SALTS = 64
-SMALL_DIMENSION = 200_000
+# Rows a counted table may have to be broadcast: some tens of MB of keys.
+SMALL_TABLE = 200_000
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], sample: float = 0.01) -> list[tuple]:
@@ -31,7 +32,7 @@ def hot_keys(df: DataFrame, on: Sequence[str], sample: float = 0.01) -> list[tup
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                hot: Sequence[tuple] | None = None) -> DataFrame:
+                hot: Sequence[tuple] | None = None, null_safe: bool = False) -> DataFrame:
     """Equi-join (inner or left) that spreads the hot keys of ``left`` over many tasks.
 
     Left rows of a hot key get a salt from a hash of their own values (the same on any retry);
@@ -41,10 +42,10 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
         raise ValueError("salting keeps results only for inner and left joins")
     keys = hot_keys(left, on) if hot is None else hot
     if not keys:
-        return left.join(right, list(on), how)
+        return joined_on(left, right, on, how, null_safe)
 
-    def is_hot(df: DataFrame):
-        def same(key):
+    def is_hot(df: DataFrame) -> Column:
+        def same(key: tuple) -> Column:
             return reduce(lambda a, b: a & b, [df[c].eqNullSafe(F.lit(v).cast(df.schema[c].dataType))
                                                for c, v in zip(on, key)])
         return reduce(lambda a, b: a | b, [same(k) for k in keys])
@@ -53,7 +54,27 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     salted = left.withColumn("_salt", F.when(is_hot(left), salt).otherwise(F.lit(0)))
     copies = right.withColumn("_salt", F.explode(
         F.when(is_hot(right), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return joined_on(salted, copies, [*on, "_salt"], how, null_safe).drop("_salt")
+
+
+def joined_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, null_safe: bool) -> DataFrame:
+    """Join on equal names, keeping the left side's columns once; optionally null equals null."""
+    if not null_safe:
+        return left.join(right, list(on), how)
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    match = reduce(lambda a, b: a & b, [left[c].eqNullSafe(renamed[f"_right_{c}"]) for c in on])
+    return left.join(renamed, match, how).drop(*[f"_right_{c}" for c in on])
+
+
+def sized_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
+               null_safe: bool = False) -> DataFrame:
+    """Broadcasts ``right`` if it was counted to be small, else shuffles with the hot keys salted.
+
+    ``right`` should be a stored table, or counting it repeats the work behind it.
+    """
+    if right.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE:
+        return joined_on(left, F.broadcast(right), on, how, null_safe)
+    return salted_join(left, right, on, how, null_safe=null_safe)
 
 
 def lookup_key(facts: DataFrame, dimension: DataFrame, on: Mapping[str, str], key: str,
@@ -61,33 +82,27 @@ def lookup_key(facts: DataFrame, dimension: DataFrame, on: Mapping[str, str], ke
     """Adds the surrogate key of the matching dimension row; ``on`` maps fact to dimension columns.
 
     The dimension is first reduced to its least key per join value, so rows never multiply.
-    Unmatched rows get ``default``. With ``null_safe`` a null matches a null. A dimension of more
-    than ``SMALL_DIMENSION`` rows is joined with its hot keys salted.
+    Unmatched rows get ``default``. With ``null_safe`` a null matches a null.
     """
-    renamed = {dim_col: f"_dim_{dim_col}" for dim_col in on.values()}
-    one = (dimension.groupBy(*on.values()).agg(F.min(key).alias(key))
-           .select(key, *[F.col(c).alias(alias) for c, alias in renamed.items()]))
-    if null_safe:
-        match = reduce(lambda a, b: a & b,
-                       [F.col(f).eqNullSafe(F.col(renamed[d])) for f, d in on.items()])
-        joined = facts.join(one, match, "left")
-    elif dimension.limit(SMALL_DIMENSION + 1).count() > SMALL_DIMENSION:
-        same_names = one.select(key, *[F.col(renamed[d]).alias(f) for f, d in on.items()])
-        joined = salted_join(facts, same_names, list(on), "left")
-    else:
-        match = reduce(lambda a, b: a & b, [F.col(f) == F.col(renamed[d]) for f, d in on.items()])
-        joined = facts.join(one, match, "left")
-    return joined.withColumn(key, F.coalesce(F.col(key), F.lit(default).cast("bigint"))).drop(*renamed.values())
+    one = (dimension.select(key, *[F.col(d).alias(f) for f, d in on.items()])
+           .groupBy(*on).agg(F.min(key).alias(key)))
+    return sized_join(facts, one, list(on), "left", null_safe).withColumn(
+        key, F.coalesce(F.col(key), F.lit(default).cast("bigint")))
 
 
 def star_join(facts: DataFrame, dims: Sequence[tuple[DataFrame, str, Sequence[str]]],
-              fact_columns: Sequence[str] | None = None) -> DataFrame:
-    """Inner joins of a fact table to (dimension, key, columns wanted), pruned on both sides."""
+              fact_columns: Sequence[str] | None = None, large: Sequence[str] = ()) -> DataFrame:
+    """Inner joins of a fact table to (dimension, key, columns wanted), pruned on both sides.
+
+    The keys named in ``large`` belong to dimensions too big to broadcast: they are joined last,
+    with their hot keys salted.
+    """
     keys = [key for _, key, _ in dims]
     kept = list(fact_columns) if fact_columns is not None else [c for c in facts.columns if c not in keys]
     result = facts.select(*dict.fromkeys([*kept, *keys]))
-    for dim, key, columns in dims:
-        result = result.join(dim.select(key, *[c for c in columns if c != key]), key)
+    for dim, key, columns in sorted(dims, key=lambda d: d[1] in large):
+        wanted = dim.select(key, *[c for c in columns if c != key])
+        result = salted_join(result, wanted, [key]) if key in large else result.join(wanted, key)
     wanted = [c for _, _, columns in dims for c in columns]
     return result.select(*dict.fromkeys([*kept, *wanted]))
 

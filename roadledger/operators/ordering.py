@@ -24,6 +24,22 @@ def _ranged(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
     return written(placed, label)
 
 
+def _offsets(table: DataFrame, start: int) -> list[int]:
+    """Number of the first row of each partition, and last the number after the last row."""
+    counts = dict(table.groupBy(_PART).count().collect())
+    offsets = [start]
+    for part in range(max(counts, default=-1) + 1):
+        offsets.append(offsets[-1] + counts.get(part, 0))
+    return offsets
+
+
+def _numbered(table: DataFrame, offsets: list[int], name: str) -> DataFrame:
+    base = F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
+    return (table.withColumn(_POS, F.col("_metadata.row_index"))
+            .withColumn(name, F.element_at(base, F.col(_PART) + 1) + F.col(_POS))
+            .drop(_PART, _POS))
+
+
 def number_rows(df: DataFrame, order: Sequence[Column], name: str = "row_number",
                 start: int = 1) -> DataFrame:
     """Dense global row numbers in the given order, which should be total.
@@ -32,15 +48,7 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str = "row_number"
     there is no window and no second shuffle. Only one count per partition reaches the driver.
     """
     table = _ranged(df, order, "numbered")
-    counts = dict(table.groupBy(_PART).count().collect())
-    offsets, total = [], start
-    for part in range(max(counts, default=-1) + 1):
-        offsets.append(total)
-        total += counts.get(part, 0)
-    base = F.split(F.lit(",".join(map(str, offsets or [start]))), ",").cast("array<bigint>")
-    return (table.withColumn(_POS, F.col("_metadata.row_index"))
-            .withColumn(name, F.element_at(base, F.col(_PART) + 1) + F.col(_POS))
-            .drop(_PART, _POS))
+    return _numbered(table, _offsets(table, start), name)
 
 
 def running_totals(df: DataFrame, group: Sequence[str], value: str, amounts: Sequence[str]) -> DataFrame:
@@ -109,11 +117,38 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
 
 def chronological_split(df: DataFrame, order: Sequence[Column], cuts: Sequence[float],
                         names: Sequence[str], name: str = "split") -> DataFrame:
-    """Consecutive shares of the ordered rows; cut i falls after the first int(n * cut) rows."""
-    numbered = number_rows(df, order, name="_rank", start=0)
-    n = numbered.count()
+    """Consecutive shares of the ordered rows; cut i falls after the first int(n * cut) rows.
+
+    Only the order columns are sorted. The value found at each cut then splits the whole rows by a
+    comparison, so those are neither shuffled nor written. If equal rows lie on both sides of a cut
+    no value separates them, and the whole rows are numbered instead.
+    """
+    keys = [f"_order{i}" for i in range(len(order))]
+    narrow = df.select(*[c.alias(k) for c, k in zip(order, keys)])
+    table = _ranged(narrow, [F.col(k) for k in keys], "order")
+    offsets = _offsets(table, 0)
+    n = offsets[-1]
+    ends = [int(n * cut) for cut in cuts]
+    # At most two rows per cut, as texts, which cast back to the same values.
+    near = {row["_rank"]: [row[k] for k in keys] for row in _numbered(table, offsets, "_rank")
+            .where(F.col("_rank").isin([r for e in ends for r in (e - 1, e)]))
+            .select("_rank", *[F.col(k).cast("string").alias(k) for k in keys]).collect()}
+    if any(e - 1 in near and e in near and near[e - 1] == near[e] for e in ends):
+        rank = F.col("_rank")
+        rows = number_rows(df, order, name="_rank", start=0)
+        tests = [rank < e for e in ends]
+    else:
+        rows = df
+        kinds = [f.dataType for f in narrow.schema.fields]
+        place = F.struct(*[c.alias(k) for c, k in zip(order, keys)])
+
+        def before(end: int) -> Column:
+            if end not in near:
+                return F.lit(end >= n)
+            return place < F.struct(*[F.lit(v).cast(kind).alias(k) for v, kind, k in zip(near[end], kinds, keys)])
+
+        tests = [before(e) for e in ends]
     label = None
-    for cut, part in zip(cuts, names):
-        inside = F.col("_rank") < int(n * cut)
+    for inside, part in zip(tests, names):
         label = F.when(inside, part) if label is None else label.when(inside, part)
-    return numbered.withColumn(name, label.otherwise(names[-1])).drop("_rank")
+    return rows.withColumn(name, label.otherwise(names[-1])).drop("_rank")

@@ -13,7 +13,7 @@ from roadledger.functions.weather import inferred_columns
 from roadledger.operators import aggregates
 from roadledger.operators.dedup import distinct_rows, keep_first
 from roadledger.operators.gate import Rule, accounting, envelopes, incident_gate, passed
-from roadledger.operators.joins import attach_weather, lookup_key, only_new, star_join
+from roadledger.operators.joins import SMALL_TABLE, attach_weather, lookup_key, only_new, star_join
 from roadledger.operators.ordering import number_rows
 from roadledger.schemas import READING_ORDER
 from roadledger.session import side_by_side, written
@@ -172,10 +172,18 @@ DIMENSION_KEYS = {"dim_date": "date_key", "dim_location": "location_key", "dim_r
 
 
 def star(tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]],
-         measures: list[str] = FACT_MEASURES) -> DataFrame:
-    """Facts joined to the dimensions named in ``columns``; any subset of dimensions may be named."""
+         measures: list[str] = FACT_MEASURES, large: Sequence[str] = ()) -> DataFrame:
+    """Facts joined to the dimensions named in ``columns``; any subset of dimensions may be named.
+
+    ``large`` names dimensions to be joined with hot keys salted, see ``large_dimensions``.
+    """
     dims = [(tables[d], DIMENSION_KEYS[d], cols) for d, cols in columns.items()]
-    return star_join(tables["fact_incidents"], dims, measures)
+    return star_join(tables["fact_incidents"], dims, measures, [DIMENSION_KEYS[d] for d in large])
+
+
+def large_dimensions(tables: Mapping[str, DataFrame]) -> list[str]:
+    """Dimensions with more rows than may be broadcast; locations grow with the incidents."""
+    return [d for d in ("dim_location",) if tables[d].limit(SMALL_TABLE + 1).count() > SMALL_TABLE]
 
 
 def star_tables(warehouse: Warehouse) -> dict[str, DataFrame]:

@@ -15,6 +15,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Beyond this size the JVM only interprets a generated method; smaller pieces run faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Folders made for sessions without spark.checkpoint.dir (local mode only), by application id.

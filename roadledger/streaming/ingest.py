@@ -18,10 +18,11 @@ from roadledger.sources.warehouse import Warehouse
 def already_known(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """``rows`` with ``is_known``: whether the key is among those accepted before.
 
-    The accepted keys are cut down to the few of this micro-batch first (a semi-join with its
-    distinct keys, which Spark broadcasts while they are small), so a micro-batch never shuffles them.
+    The accepted keys are cut down to the few of this micro-batch first: a semi-join with its
+    distinct keys, written so that Spark knows their size and broadcasts them while they are small.
+    Then only the hits are shuffled, not all keys ever accepted.
     """
-    wanted = rows.select(key).distinct()
+    wanted = written(rows.select(key).distinct(), "keys")
     hits = known.select(key).join(wanted, key, "left_semi").distinct().withColumn("is_known", F.lit(True))
     return rows.join(hits, key, "left").withColumn("is_known", F.coalesce("is_known", F.lit(False)))
 
