@@ -20,9 +20,9 @@ SMALL_TABLE = 200_000
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], sample: float = 0.01) -> list[tuple]:
-    """Keys that seem to hold over 1/256 of the rows, from a sample reduced before the shuffle.
+    """Of the 256 most frequent keys of a sample those with over 1/256 of their rows.
 
-    Only decides where salt is spent: a key missed or listed wrongly changes no result.
+    The sample is added up before its shuffle. It only decides where salt is spent: a key missed or listed wrongly changes no result.
     """
     drawn = df.select(*on).sample(sample, seed=7)
     counted = drawn.groupBy(*on).agg(F.count("*").alias("_n"))

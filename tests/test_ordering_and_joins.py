@@ -53,6 +53,36 @@ def test_salted_join_equals_plain_join(spark, how):
     assert salted.exceptAll(plain.select(*salted.columns)).isEmpty() and salted.count() == plain.count()
 
 
+def test_salted_join_with_null_safe_and_array_keys(spark):
+    left = spark.range(900).select("id", F.when(F.col("id") % 3 > 0, F.array(F.lit(1.5), (F.col("id") % 3).cast("double"))).alias("k"))
+    right = spark.createDataFrame([([1.5, 1.0], "a"), ([1.5, 2.0], "b"), (None, "none")], "k array<double>, w string")
+    got = joins.salted_join(left, right, ["k"], "left", hot=[([1.5, 1.0],), (None,)], null_safe=True)
+    assert got.columns == ["id", "k", "w"]
+    assert {r["w"]: r["count"] for r in got.groupBy("w").count().collect()} == {"a": 300, "b": 300, "none": 300}
+
+
+def test_sized_join_takes_both_ways(spark, monkeypatch):
+    left = spark.range(1000).select("id", (F.col("id") % 5).alias("k"))
+    right = spark.range(4).select(F.col("id").alias("k"), F.lit("x").alias("w"))
+    small = joins.sized_join(left, right, ["k"], "left")
+    monkeypatch.setattr(joins, "SMALL_TABLE", 2)
+    large = joins.sized_join(left, right, ["k"], "left")
+    assert small.exceptAll(large).isEmpty() and large.count() == 1000
+    dims = [(right.withColumnRenamed("k", "d_key"), "d_key", ["w"])]
+    facts = left.withColumnRenamed("k", "d_key")
+    assert joins.star_join(facts, dims, ["id"], large=["d_key"]).count() == joins.star_join(facts, dims, ["id"]).count() == 800
+
+
+@pytest.mark.parametrize("ties", [False, True])
+def test_split_with_null_and_equal_order_values(spark, ties):
+    rows = spark.range(100).select("id", F.when(F.col("id") >= 40, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("t"))
+    order = [F.col("t")] if ties else [F.col("t"), F.col("id")]
+    parts = ordering.chronological_split(rows, order, [0.25, 0.5], ["a", "b", "c"])
+    found = {r["split"]: (r["n"], r["nulls"]) for r in parts.groupBy("split").agg(
+        F.count("*").alias("n"), F.count_if(F.col("t").isNull()).alias("nulls")).collect()}
+    assert found == {"a": (25, 25), "b": (25, 15), "c": (50, 0)}
+
+
 def test_hot_keys_are_found(spark):
     rows = spark.range(50000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") + 10).alias("k"))
     assert (1,) in joins.hot_keys(rows, ["k"], 0.05)
