@@ -56,7 +56,7 @@ def keyed_state(spark: SparkSession, records: DataFrame, **source: str) -> DataF
     """Streams the landed records into state by digest; gives back the last value of every key."""
     path, updates, state = records.inputFiles(), fresh_path(spark, "state-updates"), fresh_path(spark, "state")
     stream = spark.readStream.schema(records.schema)
-    for key, value in ({"maxBytesPerTrigger": BATCH_BYTES} | source).items():
+    for key, value in (source or {"maxBytesPerTrigger": BATCH_BYTES}).items():
         stream = stream.option(key, value)
     folder = path[0].rsplit("/", 1)[0] if path else fresh_path(spark, "no-digests")
     if not path:

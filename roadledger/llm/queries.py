@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadledger.llm.common import ADDRESS, documents
 from roadledger.llm.exact_dedup import exact_classes
+from roadledger.llm.near_dedup import near_groups
 
 QUERIES, ORACLES = {}, {}
 
@@ -27,3 +28,8 @@ s AS (SELECT *, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(normal) AS text_sha256 FROM s""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_classes(documents(spark, sf_dir)).drop(*ADDRESS)
+
+
+@query("op6_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(documents(spark, sf_dir)).drop("stays", *ADDRESS)
