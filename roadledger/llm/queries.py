@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadledger.llm.common import ADDRESS, documents
 from roadledger.llm.exact_dedup import exact_classes
+from roadledger.llm.mixing import KEEP_SHARE, ROUNDS, SEED, TEMPER, mixture
 from roadledger.llm.near_dedup import near_groups
+from roadledger.llm.packing import pack
+from roadledger.llm.quality import quality_scores
 
 QUERIES, ORACLES = {}, {}
 
@@ -33,3 +37,51 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir)).drop("stays", *ADDRESS)
+
+
+@query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+def _mix_sql() -> str:
+    margins = ["source", "lang", "topic"]
+    steps, last = [], "c0"
+    for number in range(ROUNDS):
+        for m in margins:
+            new = f"c{number}_{m}"
+            steps.append(f"""{new} AS (SELECT c.* EXCLUDE (weight), weight * goal / sum(weight) OVER (PARTITION BY {m}) AS weight
+  FROM {last} c JOIN g_{m} USING ({m}))""")
+            last = new
+    goals = [f"""g_{m} AS (SELECT {m}, pow(sum(weight), {TEMPER}) / sum(pow(sum(weight), {TEMPER})) OVER () AS goal
+  FROM c0 GROUP BY {m})""" for m in margins]
+    return f"""WITH d AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+  CASE WHEN contains(t, ' | ') THEN 'table' WHEN contains(t, 'icensed under ') OR contains(t, 'eleased under ') THEN 'licensed'
+    WHEN regexp_matches(t, '[0-9]{{8}}') THEN 'record' ELSE 'prose' END AS topic,
+  CAST(len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens,
+  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '{SEED}'), 1, 8) AS BIGINT) / 4294967296.0 AS u
+  FROM (SELECT *, coalesce(text, '') AS t FROM documents)),
+c0 AS (SELECT source, lang, topic, sum(tokens) AS tokens, sum(tokens) / sum(sum(tokens)) OVER () AS weight,
+  sum(sum(tokens)) OVER () AS all_tokens FROM d GROUP BY ALL),
+{", ".join(goals)}, {", ".join(steps)},
+p AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(1.0, {KEEP_SHARE} * weight * all_tokens / tokens)
+  ELSE {KEEP_SHARE} END AS p FROM {last})
+SELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability, u < p AS kept
+FROM d JOIN p USING (source, lang, topic)"""
+
+
+@query("op2_mixing", _mix_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(documents(spark, sf_dir)).select(
+        "doc_id", *[F.col(f"__mix_{c}").alias(c) for c in ("source", "lang", "topic", "tokens")],
+        F.round("__mix_probability", 6).alias("probability"), F.col("__mix_kept").alias("kept"))
+
+
+def piece_digests(pieces: DataFrame) -> DataFrame:
+    """Pieces with a checksum in place of their ids."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op4_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
