@@ -5,6 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from roadledger.llm.chat import (MARKS, OTHER_CLOSE, OTHER_MID, OTHER_OPEN, START, TURN, format_chats, read_loss,
+                                 read_turns)
 from roadledger.llm.common import ADDRESS, documents
 from roadledger.llm.exact_dedup import exact_classes
 from roadledger.llm.mixing import KEEP_SHARE, ROUNDS, SEED, TEMPER, mixture
@@ -85,3 +87,29 @@ def piece_digests(pieces: DataFrame) -> DataFrame:
 @query("op4_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
+
+
+_ROLE_MARKS = "CASE role " + " ".join(f"WHEN '{r}' THEN {len(a) + len(b)}" for r, (a, b) in MARKS.items()) + (
+    f" ELSE {len(OTHER_OPEN) + len(OTHER_MID) + len(OTHER_CLOSE)} + length(role) END")
+
+
+@query("op7_chat_format", rf"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+l AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST({len(START)} + sum(length(text) + length(regexp_replace(text, '[^\\<\[]', '', 'g'))
+    + CASE WHEN role IS DISTINCT FROM before THEN {_ROLE_MARKS} ELSE {len(TURN)} END) AS BIGINT) AS formatted_chars
+FROM l GROUP BY conv_id""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = spark.sql("""SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'),
+        (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)""")
+    turns = documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    chats = format_chats(turns).select("*", read_turns(F.col("formatted")).alias("read"),
+                                       read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    lines = F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return chats.select(
+        "conv_id", F.size("read").cast("bigint").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"))
