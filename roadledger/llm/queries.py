@@ -13,6 +13,7 @@ from roadledger.llm.mixing import KEEP_SHARE, ROUNDS, SEED, TEMPER, mixture
 from roadledger.llm.near_dedup import near_groups
 from roadledger.llm.packing import pack
 from roadledger.llm.quality import quality_scores
+from roadledger.llm.secrets import listed, scan_secrets
 
 QUERIES, ORACLES = {}, {}
 
@@ -113,3 +114,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.size("read").cast("bigint").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
         F.char_length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+@query("op10_secrets")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(documents(spark, sf_dir))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
