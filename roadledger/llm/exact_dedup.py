@@ -67,7 +67,9 @@ def keyed_state(spark: SparkSession, records: DataFrame, **source: str) -> DataF
         # A replayed batch overwrites its own folder.
         batch.write.mode("overwrite").parquet(f"{updates}/batch={number}")
 
-    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+    # Without fallocate a store takes the space of its keys, not some MB for each state partition.
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB,
+                  spark__sql__streaming__stateStore__rocksdb__allowFAllocate="false"):
         run = (values.writeStream.outputMode("update").foreachBatch(keep)
                .option("checkpointLocation", state).trigger(availableNow=True).start())
     run.awaitTermination()
