@@ -9,6 +9,7 @@ from roadledger.llm.chat import (MARKS, OTHER_CLOSE, OTHER_MID, OTHER_OPEN, STAR
                                  read_turns)
 from roadledger.llm.common import ADDRESS, documents
 from roadledger.llm.exact_dedup import exact_classes
+from roadledger.llm.html_extract import main_text
 from roadledger.llm.mixing import KEEP_SHARE, ROUNDS, SEED, TEMPER, mixture
 from roadledger.llm.near_dedup import near_groups
 from roadledger.llm.packing import pack
@@ -125,3 +126,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select("doc_id", count("assign"), count("access"), count("hex"),
                         F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@query("op9_html_extract")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(documents(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
