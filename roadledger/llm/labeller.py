@@ -38,7 +38,7 @@ def vectors(page: list[Block]) -> np.ndarray:
             place, sign = _slot(word.lower(), WORDS)
             row[PATHS + place] += sign
         row[PATHS:PATHS + WORDS] /= 1 + len(words)
-        row[-EXTRA:] = (np.log1p(len(words)) / 4, block.links, block.text[-1:] in ".!?", len(block.path) / 8, 1)
+        row[-EXTRA:] = (np.log1p(min(len(words), 150)) / 5, block.links, block.text[-1:] in ".!?", len(block.path) / 8, 1)
     return out
 
 

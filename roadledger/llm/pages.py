@@ -100,10 +100,10 @@ def blocks(page: str | None) -> list[Block]:
                 flush()
             elif name == "br":
                 take(" ")
-            if name in ("script", "style", "textarea", "title") and not match[3].rstrip().endswith("/"):
+            if name in ("script", "style", "textarea", "title"):
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
-            elif name not in VOID and not match[3].rstrip().endswith("/"):
+            elif name not in VOID:  # as in browsers, a closing slash changes nothing
                 stack.append((name, name + _marks(match[3])))
                 silent += name in SILENT
         match = MARKUP.search(page, at)
