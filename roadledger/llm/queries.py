@@ -15,6 +15,7 @@ from roadledger.llm.near_dedup import near_groups
 from roadledger.llm.packing import pack
 from roadledger.llm.quality import quality_scores
 from roadledger.llm.secrets import listed, scan_secrets
+from roadledger.llm.topk import top_k
 
 QUERIES, ORACLES = {}, {}
 
@@ -132,3 +133,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(documents(spark, sf_dir, "pages")).select(
         "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query("op8_topk", """WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(documents(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
