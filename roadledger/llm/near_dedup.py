@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from roadledger.llm.common import ADDRESS, FILE, ROW, addressed, dropped, narrow_join
+from roadledger.llm.common import ADDRESS, FILE, ROW, addressed, dropped, narrow_join, settings
 from roadledger.llm.components import components
 from roadledger.llm.shingles import mixed, shingle_sets, slices, word_lists
 from roadledger.session import written
@@ -36,8 +36,9 @@ BANDS, BAND_ROWS, BITS = 51, 5, 256
 SEED = 20240601
 #: Least agreement of two 256-bit signatures for a pair to be confirmed on its sets.
 AGREEMENT = 192
-#: Members of a bucket that one row of the second pass holds on either side.
-CHUNK = 128
+#: Members of a bucket that one row of the second pass holds on either side, and rows sent to Python at a time there
+#: and where pairs are held with both their sets.
+CHUNK, BATCH_ROWS = 128, 250
 SIGNATURE = ["s0", "s1", "s2", "s3"]
 _SKETCHED = (f"{FILE} bigint, {ROW} bigint, id bigint, same binary, n bigint, s0 bigint, s1 bigint, s2 bigint, "
              "s3 bigint, bands array<bigint>")
@@ -108,21 +109,30 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of different components between two chunks of a bucket that signatures and sizes allow."""
     for batch in batches:
         found = [np.zeros((0, 2), np.int64)]
-        for row in batch.to_pylist():
-            left, right = ({k: np.array([m[k] for m in row[side]], np.int64) for k in ("uid", "component", "n", *SIGNATURE)}
-                           for side in ("others", "members"))
+        heads = batch.column("head").to_numpy()
+        sides = [_members(batch.column(side)) for side in ("others", "members")]
+        for k in range(batch.num_rows):
+            left, right = ({name: values[offsets[k]:offsets[k + 1]] for name, values in fields.items()}
+                           for offsets, fields in sides)
             agree = np.full((len(left["uid"]), len(right["uid"])), BITS, np.int64)
-            for k in SIGNATURE:
-                agree -= np.bitwise_count((left[k][:, None] ^ right[k][None, :]).view(np.uint64))
+            for name in SIGNATURE:
+                agree -= np.bitwise_count((left[name][:, None] ^ right[name][None, :]).view(np.uint64))
             small, large = np.minimum.outer(left["n"], right["n"]), np.maximum.outer(left["n"], right["n"])
             i, j = np.nonzero((agree >= AGREEMENT) & (100 * small >= 75 * large)
                               & (left["component"][:, None] != right["component"][None, :])
-                              & (right["uid"] != row["head"])[None, :])
+                              & (right["uid"] != heads[k])[None, :])
             found.append(np.stack([left["uid"][i], right["uid"][j]], axis=1))
         pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
+def _members(lists: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Offsets and fields of lists of structs, without a copy into Python."""
+    offsets = np.asarray(lists.offsets)
+    flat = lists.values
+    return offsets, {flat.type.field(k).name: flat.field(k).to_numpy(zero_copy_only=False) for k in range(flat.type.num_fields)}
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame:
     """The written links among ``pairs`` (a, b: bigint)."""
     spark = pairs.sparkSession
@@ -131,9 +141,10 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataF
     wanted = written(places.join(nodes, "uid"), "wanted")
     sets = written(narrow_join(texts, wanted, ADDRESS, "inner").select("uid", "text")
                    .mapInArrow(_sets, "uid bigint, shingles binary"), "sets")
-    links = written(pairs.join(sets.select(F.col("uid").alias("b"), F.col("shingles").alias("y")), "b")
-                    .join(sets.select(F.col("uid").alias("a"), F.col("shingles").alias("x")), "a")
-                    .select("a", "b", "x", "y").mapInArrow(_linked, "a bigint, b bigint"), "links")
+    both = (pairs.join(sets.select(F.col("uid").alias("b"), F.col("shingles").alias("y")), "b")
+            .join(sets.select(F.col("uid").alias("a"), F.col("shingles").alias("x")), "a").select("a", "b", "x", "y"))
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
+        links = written(both.mapInArrow(_linked, "a bigint, b bigint"), "links")
     dropped(spark, wanted, sets)
     return links
 
@@ -163,8 +174,9 @@ def _second_pass(members: DataFrame, groups: DataFrame, sketches: DataFrame) ->
         # A chunk holds about CHUNK members whatever the size of its bucket.
         return rows.groupBy("band", "head", chunk).agg(F.collect_list(member).alias(name)).drop("chunk")
 
-    return (chunks(placed.where("component <> first"), "others").join(chunks(placed, "members"), ["band", "head"])
-            .select("head", "others", "members").mapInArrow(_across, "a bigint, b bigint").distinct())
+    both = chunks(placed.where("component <> first"), "others").join(chunks(placed, "members"), ["band", "head"])
+    with settings(members.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
+        return written(both.select("head", "others", "members").mapInArrow(_across, "a bigint, b bigint").distinct(), "across")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
