@@ -14,6 +14,7 @@ from roadledger.llm.mixing import KEEP_SHARE, ROUNDS, SEED, TEMPER, mixture
 from roadledger.llm.near_dedup import near_groups
 from roadledger.llm.packing import pack
 from roadledger.llm.quality import quality_scores
+from roadledger.llm.repeats import remove_repeats
 from roadledger.llm.secrets import listed, scan_secrets
 from roadledger.llm.topk import top_k
 
@@ -143,3 +144,8 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(documents(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query("op5_repeats")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
