@@ -184,5 +184,5 @@ def star_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("j_drift_report", f"""WITH {STAR_SQL} SELECT CAST(floor(count(*) * 0.70::DOUBLE) AS BIGINT) AS reference_records,
   CAST(count(*) - floor(count(*) * 0.70::DOUBLE) AS BIGINT) AS current_records, CAST(4 AS INT) AS features FROM fact_incidents""")
 def full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = analyse(star_frames(spark, sf_dir), exact_p=False)
+    report = analyse(star_frames(spark, sf_dir))
     return report.select("reference_records", "current_records", F.size("feature_drift").alias("features"))

@@ -61,7 +61,8 @@ def unseen_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An indicator fitted without one event type leaves that type all zeros."""
     events = table(spark, sf_dir, "events").select("event_id", "value", "event_type")
     fitted = features.fit_preprocessor(events.where("event_type <> 'view'"), ["value"], ["event_type"])
-    slots = F.slice(vector_to_array("features"), 2, 10)
+    vector = vector_to_array("features")
+    slots = F.slice(vector, F.lit(2), F.size(vector) - 1)  # all indicators; the first slot is the number
     return fitted.transform(events).select(
         "event_id", F.aggregate(slots, F.lit(0.0), lambda a, x: a + x).cast("int").alias("known"))
 

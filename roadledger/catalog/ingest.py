@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadledger.catalog.feed import FEED, FEED_SQL, GATED_SQL, feed, star_frames
+from roadledger.catalog.feed import ARRIVAL_COLUMNS, FEED, FEED_SQL, GATED_SQL, feed, star_frames
 from roadledger.catalog.drift import event_report
 from roadledger.catalog.features import JUDGED_SQL, judged
 from roadledger.catalog.registry import query, table
@@ -55,10 +55,16 @@ def csv_scan_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged_columns(collisions.to_staging(collisions.scan_collisions(spark, path, skip_rows=1)))
 
 
-def ingested(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, str, str]:
+def in_arrival_order(rows: DataFrame) -> DataFrame:
+    """Rows spread and sorted in the feed's own order, so that files hold them as they arrived."""
+    return rows.repartitionByRange(*[F.col(c) for c in ARRIVAL_COLUMNS]).sortWithinPartitions(*ARRIVAL_COLUMNS)
+
+
+def ingested(spark: SparkSession, sf_dir: str, ordered: bool = False) -> tuple[Warehouse, str, str]:
     warehouse = Warehouse(spark, fresh_path(spark, "warehouse"))
     raw = fresh_path(spark, "raw")
-    batch_id = collisions.ingest_collisions(warehouse, collision_files(spark, feed(spark, sf_dir), 2), raw)
+    rows = in_arrival_order(feed(spark, sf_dir)) if ordered else feed(spark, sf_dir)
+    batch_id = collisions.ingest_collisions(warehouse, collision_files(spark, rows, 2), raw)
     return warehouse, batch_id, raw
 
 
@@ -85,13 +91,14 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("a_quarantine_sink", f"""SELECT accident_index AS record_identifier, rejection_reason, count(*) AS records FROM ({GATED_SQL})
-WHERE rejection_reason IS NOT NULL AND NOT starts_with(rejection_reason, 'DUPLICATE') GROUP BY 1, 2""")
+WHERE rejection_reason IS NOT NULL GROUP BY 1, 2""")
 def quarantine_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Judged twice, quarantined once. (Which of several records is the repeat depends on reading order.)"""
-    warehouse, batch_id, _ = ingested(spark, sf_dir)
+    """Judged twice, quarantined once. Which of several records is the repeat depends on reading order, so the
+    files hold the feed in its own order."""
+    warehouse, batch_id, _ = ingested(spark, sf_dir, ordered=True)
     for _ in range(2):
         plan.validate_and_quarantine(warehouse, batch_id)
-    held = warehouse.read("quarantine", batch_id).where(~F.col("rejection_reason").startswith("DUPLICATE"))
+    held = warehouse.read("quarantine", batch_id)
     return latest_first(held, "rejected_at").groupBy("record_identifier", "rejection_reason").agg(F.count("*").alias("records"))
 
 
@@ -241,10 +248,7 @@ def weather_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def whole_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File -> warehouse -> marts -> drift, judged by its counts. The feed's own arrival order decides
     which of several records is first, so the rows are numbered in that order before they are written."""
-    from roadledger.catalog.feed import ARRIVAL_COLUMNS
-
-    ordered = feed(spark, sf_dir).repartitionByRange(*[F.col(c) for c in ARRIVAL_COLUMNS]).sortWithinPartitions(*ARRIVAL_COLUMNS)
-    files = collision_files(spark, ordered, 2)
+    files = collision_files(spark, in_arrival_order(feed(spark, sf_dir)), 2)
     config = end_to_end.JobConfig(fresh_path(spark, "warehouse"), files, fresh_path(spark, "raw"), fresh_path(spark, "reports"))
     none = spark.createDataFrame([], "lat decimal(10,2), lon decimal(10,2), accident_date string, payload string")
     result = end_to_end.run_job(spark, config, none)
