@@ -37,9 +37,12 @@ def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 _HOUR = "CAST(substring(accident_time, 1, 2) AS INT)"
 
 
-@query("h_stream_score", f"""SELECT count(*) FILTER (latitude BETWEEN {LATITUDE_BOUNDS[0]} AND {LATITUDE_BOUNDS[1]}
-  AND longitude BETWEEN {LONGITUDE_BOUNDS[0]} AND {LONGITUDE_BOUNDS[1]} AND coalesce(speed_limit, 30) BETWEEN 10 AND 100) AS scored,
-  count(*) AS requests, 0::BIGINT AS bad_scores FROM ({FEED_SQL})""")
+_IN_BOUNDS = (f"latitude BETWEEN {LATITUDE_BOUNDS[0]} AND {LATITUDE_BOUNDS[1]} AND longitude BETWEEN {LONGITUDE_BOUNDS[0]} "
+              f"AND {LONGITUDE_BOUNDS[1]} AND coalesce(speed_limit, 30) BETWEEN 10 AND 100")
+
+
+@query("h_stream_score", f"""SELECT count(*) FILTER ({_IN_BOUNDS}) AS scored, count(*) AS requests,
+  count(*) - count(*) FILTER ({_IN_BOUNDS}) AS refused, 0::BIGINT AS unexplained, 0::BIGINT AS bad_scores FROM ({FEED_SQL})""")
 def scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit, _ = fitted_unit(training_rows(spark, sf_dir), FOREST)
     requests = feed_columns(line_stream(spark, sf_dir), spark, sf_dir, []).select(
@@ -47,9 +50,10 @@ def scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("latitude").cast("double").alias("latitude"), F.col("longitude").cast("double").alias("longitude"),
         F.col("urban_or_rural_area").alias("urban_or_rural"), F.col("weather_conditions").alias("weather_condition"))
     target = fresh_path(spark, "scores")
-    run = stream_scores(requests, unit, target, fresh_path(spark, "stream"), keep=("accident_index",))
-    run.awaitTermination()
-    seen = request_totals(run)["requests"]
-    return spark.read.parquet(target).agg(
-        F.count("*").alias("scored"), F.lit(seen).cast("bigint").alias("requests"),
-        F.count_if((F.col("severity_risk_score") < 0) | (F.col("severity_risk_score") > 1)).alias("bad_scores"))
+    stream_scores(requests, unit, target, fresh_path(spark, "stream"), keep=("accident_index",)).awaitTermination()
+    scored = spark.read.parquet(f"{target}/scored").agg(
+        F.count("*").alias("scored"), F.count_if((F.col("severity_risk_score") < 0) | (F.col("severity_risk_score") > 1)).alias("bad_scores"))
+    refused = spark.read.parquet(f"{target}/refused").agg(
+        F.count("*").alias("refused"), F.count_if(F.col("rejection_reason").isNull()).alias("unexplained"))
+    totals = request_totals(spark, target).select("requests")
+    return scored.join(F.broadcast(refused)).join(F.broadcast(totals))  # one row each

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +20,8 @@ SESSION_DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
-# Folders made for sessions without spark.checkpoint.dir (local mode only), by application id.
-_LOCAL_FOLDERS: dict[str, str] = {}
+# Paths written inside ``scratch`` blocks, innermost last.
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def build_session(app_name: str = "roadledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,8 +39,8 @@ def build_session(app_name: str = "roadledger", master: str | None = None, **con
 def work_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables, below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may go without that setting; on a cluster a machine-local folder
-    would vanish with its executor, so a missing setting is an error there.
+    Only a local-mode session may go without that setting and then works below its warehouse; on a
+    cluster a missing setting is an error.
     """
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -47,9 +48,7 @@ def work_folder(spark: SparkSession) -> str:
         return f"{shared.rstrip('/')}/roadledger-{context.applicationId}"
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="roadledger-")
-    return _LOCAL_FOLDERS[context.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/roadledger-{context.applicationId}"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -65,10 +64,32 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    kept = _SCRATCH.get()
+    if kept is not None:
+        kept.append(path)
     df.write.option("maxRecordsPerFile", 0).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def deleted(spark: SparkSession, path: str) -> None:
+    """Removes a folder of the shared store, whatever store that is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, at the end, the tables that ``written`` made inside the block; nothing may read them later."""
+    paths: list[str] = []
+    mark = _SCRATCH.set(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(mark)
+        for path in paths:
+            deleted(spark, path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

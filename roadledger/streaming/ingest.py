@@ -10,7 +10,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from roadledger.operators.gate import MESSAGES, Rule, accounting, envelopes, first_failure, incident_rules, passed
 from roadledger.operators.dedup import flag_repeats
-from roadledger.session import written
+from roadledger.operators.joins import sized_join
+from roadledger.session import scratch, written
 from roadledger.sources.collisions import audit
 from roadledger.sources.warehouse import Warehouse
 
@@ -20,19 +21,27 @@ def already_known(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
 
     The accepted keys are cut down to the few of this micro-batch first: a semi-join with its
     distinct keys, written so that Spark knows their size and broadcasts them while they are small.
-    Then only the hits are shuffled, not all keys ever accepted.
+    Of the history only the key column is read, and only the hits are joined to the rows. A null
+    key equals a null key, as in the batch gate.
     """
     wanted = written(rows.select(key).distinct(), "keys")
-    hits = known.select(key).join(wanted, key, "left_semi").distinct().withColumn("is_known", F.lit(True))
-    return rows.join(hits, key, "left").withColumn("is_known", F.coalesce("is_known", F.lit(False)))
+    held = known.select(key)
+    hits = written(held.join(wanted, held[key].eqNullSafe(wanted[key]), "left_semi").distinct(), "hits")
+    return sized_join(rows, hits.withColumn("is_known", F.lit(True)), [key], "left", null_safe=True).withColumn(
+        "is_known", F.coalesce("is_known", F.lit(False)))
 
 
 def gate_batch(warehouse: Warehouse, key: str = "accident_index", prefix: str = "stream_",
                source: str = "stream", order: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
     """The micro-batch function. Its batch id is the epoch, and each table gets that partition
-    written whole, so an epoch that is run again replaces its own rows."""
+    written whole, so an epoch that is run again replaces its own rows. What it wrote on the way is
+    removed when it is done."""
 
     def run(rows: DataFrame, epoch: int) -> None:
+        with scratch(warehouse.spark):
+            judge(rows, epoch)
+
+    def judge(rows: DataFrame, epoch: int) -> None:
         started = datetime.now(timezone.utc)
         batch_id = f"{prefix}{epoch:08d}"
         arrived = written(rows.withColumns({

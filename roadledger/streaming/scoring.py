@@ -1,38 +1,47 @@
-"""Scoring of a stream of requests."""
+"""Scoring of a stream of requests: predictions, refused requests and a row of figures per epoch."""
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from roadledger.operators.gate import failed, passed
+from roadledger.operators.gate import accounting, failed, passed
 from roadledger.operators.models import checked_requests, score
+from roadledger.session import scratch, written
+
+EPOCH_FIGURES = "requests bigint, refused bigint, millis bigint"
 
 
-def scored_stream(requests: DataFrame, model: PipelineModel, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Predictions of the valid requests; row by row, so nothing is kept between micro-batches."""
-    return score(model, passed(checked_requests(requests)), keep)
+def score_batch(model: PipelineModel, target: str, keep: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
+    """The micro-batch function. Every epoch writes its own folders whole, so one that is run again
+    replaces its rows."""
 
+    def run(rows: DataFrame, epoch: int) -> None:
+        started, spark = time.monotonic(), rows.sparkSession
+        with scratch(spark):
+            judged = written(checked_requests(rows), "requests")
+            score(model, passed(judged), keep).write.mode("overwrite").parquet(f"{target}/scored/epoch={epoch}")
+            failed(judged).write.mode("overwrite").parquet(f"{target}/refused/epoch={epoch}")
+            counts = accounting(judged).first()
+        row = (counts["valid"] + counts["rejected"], counts["rejected"], int((time.monotonic() - started) * 1000))
+        spark.createDataFrame([row], EPOCH_FIGURES).coalesce(1).write.mode("overwrite").parquet(f"{target}/epochs/epoch={epoch}")
 
-def refused_stream(requests: DataFrame) -> DataFrame:
-    return failed(checked_requests(requests))
+    return run
 
 
 def stream_scores(requests: DataFrame, model: PipelineModel, target: str, checkpoint: str,
                   keep: tuple[str, ...] = ()) -> StreamingQuery:
-    return (scored_stream(requests, model, keep).writeStream.format("parquet").option("path", target)
-            .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
-
-
-def request_totals(query: StreamingQuery) -> dict[str, float]:
-    """Requests seen and mean time per request in ms, from the progress of a query."""
-    progress = query.recentProgress
-    rows = sum(p["numInputRows"] for p in progress)
-    spent = sum(p["durationMs"].get("addBatch", 0) for p in progress)
-    return {"requests": rows, "avg_latency_ms": spent / rows if rows else 0.0}
+    """Scores everything available; below ``target`` lie ``scored``, ``refused`` (with the reason) and ``epochs``."""
+    return (requests.writeStream.foreachBatch(score_batch(model, target, keep))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def served(target: DataFrame) -> DataFrame:
-    """Predictions by label."""
-    return target.groupBy("predicted_severity_label").agg(F.count("*").alias("records"))
+def request_totals(spark: SparkSession, target: str) -> DataFrame:
+    """One row over all epochs ever run: requests, refused ones and mean time per request in ms."""
+    return spark.read.parquet(f"{target}/epochs").agg(
+        F.coalesce(F.sum("requests"), F.lit(0)).alias("requests"), F.coalesce(F.sum("refused"), F.lit(0)).alias("refused"),
+        F.coalesce(F.try_divide(F.sum("millis"), F.sum("requests")), F.lit(0.0)).alias("avg_latency_ms"))

@@ -9,9 +9,9 @@ from roadledger.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="4",
-                            spark__driver__memory="4g")
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g",
+                            spark__checkpoint__dir=str(tmp_path_factory.mktemp("work")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
