@@ -8,14 +8,9 @@ from roadledger.catalog.feed import STAR_SQL, star_frames
 from roadledger.catalog.registry import query, table
 from roadledger.functions import calendar
 from roadledger.operators import aggregates
-from roadledger.plans.star import DASHBOARD_COLUMNS, star
+from roadledger.plans.star import pair_counts, star, summed_star
 
-
-def dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star(star_frames(spark, sf_dir), DASHBOARD_COLUMNS)
-
-
-# Each page joins only the dimensions it needs.
+# Each page joins only the dimensions it needs, to facts added up by their keys.
 _ALL = """FROM fact_incidents JOIN dim_date USING (date_key) JOIN dim_location USING (location_key)
 JOIN dim_road USING (road_key) JOIN dim_weather USING (weather_key) JOIN dim_severity USING (severity_key)"""
 
@@ -71,7 +66,8 @@ def kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("e_value_counts", f"""WITH {STAR_SQL} SELECT severity_name, count(*) AS records FROM fact_incidents
 JOIN dim_severity USING (severity_key) GROUP BY 1""")
 def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.value_counts(star(star_frames(spark, sf_dir), {"dim_severity": ["severity_name"]}, []), "severity_name")
+    rows = summed_star(star_frames(spark, sf_dir), {"dim_severity": ["severity_name"]})
+    return aggregates.value_counts(rows, "severity_name", weight="records")
 
 
 _PAIRS = [("urban_or_rural", "severity_name"), ("time_of_day", "severity_name"), ("weather_condition", "severity_name"),
@@ -85,22 +81,22 @@ _PAIRS = [("urban_or_rural", "severity_name"), ("time_of_day", "severity_name"),
     f"CAST({b} AS VARCHAR) AS second_value, count(*) AS records FROM s WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 3, 4"
     for a, b in _PAIRS))
 def cross_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.cross_counts_of(dashboard(spark, sf_dir), _PAIRS)
+    return pair_counts(star_frames(spark, sf_dir), _PAIRS)
 
 
 @query("e_area_severity", f"""WITH {STAR_SQL} SELECT urban_or_rural, severity_name, count(*) AS records FROM fact_incidents
 JOIN dim_location USING (location_key) JOIN dim_severity USING (severity_key) GROUP BY 1, 2""")
 def area_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = star(star_frames(spark, sf_dir), {"dim_location": ["urban_or_rural"], "dim_severity": ["severity_name"]}, [])
-    return aggregates.cross_counts(rows, "urban_or_rural", "severity_name")
+    rows = summed_star(star_frames(spark, sf_dir), {"dim_location": ["urban_or_rural"], "dim_severity": ["severity_name"]})
+    return aggregates.cross_counts(rows, "urban_or_rural", "severity_name", weight="records")
 
 
 @query("e_weekend_sums", f"""WITH {STAR_SQL} SELECT CASE WHEN is_weekend THEN 'Weekend (Sat-Sun)' ELSE 'Weekday (Mon-Fri)' END AS weekend_label,
   severity_name, sum(number_of_casualties)::BIGINT AS casualties FROM fact_incidents JOIN dim_date USING (date_key)
   JOIN dim_severity USING (severity_key) GROUP BY 1, 2""")
 def weekend_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = star(star_frames(spark, sf_dir), {"dim_date": ["is_weekend"], "dim_severity": ["severity_name"]},
-                ["number_of_casualties"])
+    rows = summed_star(star_frames(spark, sf_dir), {"dim_date": ["is_weekend"], "dim_severity": ["severity_name"]},
+                       sums=["number_of_casualties"])
     return aggregates.weekend_sums(rows, "is_weekend", "severity_name", "number_of_casualties", "casualties")
 
 
@@ -122,8 +118,8 @@ def pivot_day_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT speed_limit, 'fatal_pct' AS variable, CAST(round(fatal_pct * 1000000) AS BIGINT) AS value FROM s
 UNION ALL SELECT speed_limit, 'serious_pct', CAST(round(serious_pct * 1000000) AS BIGINT) FROM s""")
 def share_by_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = star(star_frames(spark, sf_dir), {"dim_road": ["speed_limit"], "dim_severity": ["severity_name"]}, [])
-    shares = aggregates.share_by(rows, "speed_limit", "severity_name", ["Fatal", "Serious"])
+    rows = summed_star(star_frames(spark, sf_dir), {"dim_road": ["speed_limit"], "dim_severity": ["severity_name"]})
+    shares = aggregates.share_by(rows, "speed_limit", "severity_name", ["Fatal", "Serious"], weight="records")
     tall = aggregates.melted(shares, "speed_limit", ["fatal_pct", "serious_pct"])
     return tall.withColumn("value", F.round(F.col("value") * F.lit(1000000.0)).cast("bigint"))
 
@@ -132,8 +128,8 @@ def share_by_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT road_type, number_of_vehicles, CAST(2 AS INT) AS level, count(*) AS records FROM s GROUP BY 1, 2
 UNION ALL SELECT road_type, NULL, 1, count(*) FROM s GROUP BY 1""")
 def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = star(star_frames(spark, sf_dir), {"dim_road": ["road_type"]}, ["number_of_vehicles"])
-    return aggregates.hierarchy_counts(rows, "road_type", "number_of_vehicles")
+    rows = summed_star(star_frames(spark, sf_dir), {"dim_road": ["road_type"]}, by=["number_of_vehicles"])
+    return aggregates.hierarchy_counts(rows, "road_type", "number_of_vehicles", weight="records")
 
 
 @query("e_centroid", f"""WITH {STAR_SQL} SELECT CAST(round(coalesce(avg(latitude::DOUBLE), 52.5) * 1000000) AS BIGINT) AS mid_latitude,
@@ -142,9 +138,9 @@ FROM fact_incidents JOIN dim_location USING (location_key) JOIN dim_severity USI
 def centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadledger.operators.gate import in_any
 
-    rows = star(star_frames(spark, sf_dir), {"dim_location": ["latitude", "longitude"], "dim_severity": ["severity_name"]}, [])
+    rows = summed_star(star_frames(spark, sf_dir), {"dim_location": ["latitude", "longitude"], "dim_severity": ["severity_name"]})
     mid = aggregates.centroid(in_any(rows, severity_name=["Fatal", "Serious"]).withColumns(
-        {c: F.col(c).cast("double") for c in ("latitude", "longitude")}))
+        {c: F.col(c).cast("double") for c in ("latitude", "longitude")}), weight="records")
     return mid.select(*[F.round(F.col(c) * F.lit(1000000.0)).cast("bigint").alias(c) for c in mid.columns])
 
 
@@ -159,8 +155,8 @@ d AS (SELECT *, abs(rq - q) AS dq, abs(rr - r) AS dr, abs(rs - s) AS ds FROM c)
 SELECT CAST(CASE WHEN dq > dr AND dq > ds THEN -rr - rs ELSE rq END AS INT) AS hex_q,
   CAST(CASE WHEN dq > dr AND dq > ds THEN rr WHEN dr > ds THEN -rq - rs ELSE rr END AS INT) AS hex_r, count(*) AS records FROM d GROUP BY 1, 2""")
 def hex_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = star(star_frames(spark, sf_dir), {"dim_location": ["latitude", "longitude"]}, [])
-    return aggregates.hex_density(rows)
+    rows = summed_star(star_frames(spark, sf_dir), {"dim_location": ["latitude", "longitude"]})
+    return aggregates.hex_density(rows, weight="records")
 
 
 @query("e_class_share", """SELECT split, event_type, n AS records, round_even(n / sum(n) OVER (PARTITION BY split), 4) AS share FROM (
@@ -183,8 +179,8 @@ FROM fact_incidents JOIN dim_location USING (location_key)
 UNION ALL SELECT DISTINCT 'severity_name', severity_name FROM fact_incidents JOIN dim_severity USING (severity_key)""")
 def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = star_frames(spark, sf_dir)
-    areas = star(t, {"dim_location": ["urban_or_rural"]}, [])
-    severities = star(t, {"dim_severity": ["severity_name"]}, [])
+    areas = summed_star(t, {"dim_location": ["urban_or_rural"]})
+    severities = summed_star(t, {"dim_severity": ["severity_name"]})
     return (areas.select(F.lit("urban_or_rural").alias("slicer"), F.col("urban_or_rural").alias("choice")).distinct()
             .unionByName(severities.select(F.lit("severity_name").alias("slicer"), F.col("severity_name").alias("choice")).distinct())
             .orderBy("slicer", "choice"))

@@ -10,7 +10,7 @@ from roadledger.operators import aggregates, dedup, ordering
 from roadledger.plans.drift_job import reference_and_current
 from roadledger.plans.training import split_star
 from roadledger.catalog.feed import STAR_SQL, star_frames
-from roadledger.plans.star import TRAINING_COLUMNS, star
+from roadledger.plans.star import TRAINING_COLUMNS, star, summed_star
 from roadledger.sources.warehouse import latest_first
 
 LINE_ORDER = ["l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey"]
@@ -20,7 +20,8 @@ LINE_REST = "l_shipdate, l_extendedprice, l_partkey, l_suppkey, l_quantity, l_di
 @query("f_keep_first", f"""SELECT l_orderkey, l_linenumber, {LINE_REST} FROM (SELECT *, row_number() OVER (
   PARTITION BY l_orderkey, l_linenumber ORDER BY {", ".join(LINE_ORDER)}) AS rn FROM lineitem) WHERE rn = 1""")
 def keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.keep_first(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORDER)
+    lines = table(spark, sf_dir, "lineitem").select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return dedup.keep_first_by_id(lines, ["l_orderkey", "l_linenumber"], LINE_ORDER, ["file", "row"]).drop("file", "row")
 
 
 @query("f_row_number", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS row_number FROM orders")
@@ -69,19 +70,18 @@ FROM fact_incidents JOIN dim_location USING (location_key) JOIN dim_severity USI
 
 
 def located(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star(star_frames(spark, sf_dir), {
-        "dim_location": ["latitude", "longitude", "urban_or_rural", "local_authority"], "dim_severity": ["severity_name"]},
-        ["number_of_casualties", "number_of_vehicles"])
+    return summed_star(star_frames(spark, sf_dir), {
+        "dim_location": ["latitude", "local_authority"], "dim_severity": ["severity_name"]}, sums=["number_of_casualties"])
 
 
 @query("f_top_authorities", f"{AUTHORITY_SQL} ORDER BY total_accidents DESC, local_authority LIMIT 8")
 def top_authorities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.authority_ranking(located(spark, sf_dir), "local_authority", "latitude", top=8)
+    return aggregates.authority_ranking(located(spark, sf_dir), "local_authority", "latitude", top=8, weight="records")
 
 
 @query("e_authority_rank", AUTHORITY_SQL)
 def authority_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.authority_ranking(located(spark, sf_dir), "local_authority", "latitude")
+    return aggregates.authority_ranking(located(spark, sf_dir), "local_authority", "latitude", weight="records")
 
 
 @query("f_champion", """SELECT event_type AS run_name, records FROM (SELECT event_type, count(*) AS records FROM events GROUP BY 1)

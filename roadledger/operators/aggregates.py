@@ -78,24 +78,20 @@ def kpis(df: DataFrame) -> DataFrame:
         F.bround(F.avg("number_of_vehicles"), 2).alias("avg_vehicles"))
 
 
-def value_counts(df: DataFrame, column: str, name: str = "records") -> DataFrame:
-    return (df.dropna(subset=[column]).groupBy(column).agg(F.count("*").alias(name))
-            .orderBy(F.desc(name), column))
+def records(weight: str | None, condition: Column | None = None) -> Column:
+    """Number of records, or of those that meet a condition; with a weight, rows stand for so many records."""
+    if weight is None:
+        return F.count("*") if condition is None else F.count_if(condition)
+    return F.sum(weight) if condition is None else F.sum(F.when(condition, F.col(weight)).otherwise(0))
 
 
-def cross_counts(df: DataFrame, first: str, second: str, name: str = "records") -> DataFrame:
-    return df.dropna(subset=[first, second]).groupBy(first, second).agg(F.count("*").alias(name))
+def value_counts(df: DataFrame, column: str, name: str = "records", weight: str | None = None) -> DataFrame:
+    return (df.dropna(subset=[column]).groupBy(column).agg(records(weight).alias(name))
+            .orderBy(F.desc(name), column))
 
 
-def cross_counts_of(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Counts of several column pairs in one pass: (first_name, second_name, first_value, second_value,
-    records), values as text. Each row is opened into one entry per pair and added up at once."""
-    entries = F.array(*[
-        F.struct(F.lit(a).alias("first_name"), F.lit(b).alias("second_name"),
-                 F.col(a).cast("string").alias("first_value"), F.col(b).cast("string").alias("second_value"))
-        for a, b in pairs])
-    opened = df.select(F.explode(entries).alias("e")).select("e.*").dropna()
-    return opened.groupBy(*opened.columns).agg(F.count("*").alias("records"))
+def cross_counts(df: DataFrame, first: str, second: str, name: str = "records", weight: str | None = None) -> DataFrame:
+    return df.dropna(subset=[first, second]).groupBy(first, second).agg(records(weight).alias(name))
 
 
 def weekend_sums(df: DataFrame, flag: str, by: str, amount: str, name: str) -> DataFrame:
@@ -115,11 +111,11 @@ def day_hour_pivot(df: DataFrame, day: str, hour: str, counted: str) -> DataFram
     return days.join(counts, day, "left").fillna(0).orderBy("day_order")
 
 
-def share_by(df: DataFrame, key: str, column: str, values: Sequence[str]) -> DataFrame:
+def share_by(df: DataFrame, key: str, column: str, values: Sequence[str], weight: str | None = None) -> DataFrame:
     """Percentage of each listed value among the non-null values within ``key``; absent ones 0."""
     known = df.dropna(subset=[key, column])
     return known.groupBy(key).agg(*[
-        (F.count_if(F.col(column) == v) / F.count("*") * F.lit(100.0)).alias(f"{v.lower()}_pct")
+        (records(weight, F.col(column) == v) / records(weight) * F.lit(100.0)).alias(f"{v.lower()}_pct")
         for v in values])
 
 
@@ -128,20 +124,21 @@ def melted(df: DataFrame, key: str, columns: Sequence[str], variable: str = "var
     return df.unpivot([key], list(columns), variable, value)
 
 
-def authority_ranking(df: DataFrame, authority: str, counted: str, top: int | None = None) -> DataFrame:
+def authority_ranking(df: DataFrame, authority: str, counted: str, top: int | None = None,
+                      weight: str | None = None) -> DataFrame:
     """Areas by number of records, with the worst outcomes and casualties; ``top`` keeps the first."""
     ranked = (df.dropna(subset=[authority]).groupBy(authority)
-              .agg(F.count(counted).alias("total_accidents"),
-                   F.count_if(F.col("severity_name") == "Fatal").alias("fatalities"),
-                   F.count_if(F.col("severity_name") == "Serious").alias("serious"),
+              .agg(records(weight, F.col(counted).isNotNull()).alias("total_accidents"),
+                   records(weight, F.col("severity_name") == "Fatal").alias("fatalities"),
+                   records(weight, F.col("severity_name") == "Serious").alias("serious"),
                    F.sum("number_of_casualties").alias("total_casualties"))
               .orderBy(F.desc("total_accidents"), authority))
     return ranked if top is None else ranked.limit(top)
 
 
-def hierarchy_counts(df: DataFrame, outer: str, inner: str) -> DataFrame:
+def hierarchy_counts(df: DataFrame, outer: str, inner: str, weight: str | None = None) -> DataFrame:
     """Counts of (outer, inner) and of outer alone, told apart by ``level`` (2 and 1)."""
-    pairs = cross_counts(df, outer, inner)
+    pairs = cross_counts(df, outer, inner, weight=weight)
     return (pairs.rollup(outer, inner).agg(F.sum("records").alias("records"),
                                            F.grouping_id().alias("_g"))
             .where("_g < 3")
@@ -149,17 +146,23 @@ def hierarchy_counts(df: DataFrame, outer: str, inner: str) -> DataFrame:
 
 
 def centroid(df: DataFrame, latitude: str = "latitude", longitude: str = "longitude",
-             default: tuple[float, float] = (52.5, -1.5)) -> DataFrame:
-    return df.agg(F.coalesce(F.avg(latitude), F.lit(default[0])).alias("mid_latitude"),
-                  F.coalesce(F.avg(longitude), F.lit(default[1])).alias("mid_longitude"))
+             default: tuple[float, float] = (52.5, -1.5), weight: str | None = None) -> DataFrame:
+    def mean(column: str) -> Column:
+        if weight is None:
+            return F.avg(column)
+        known = F.sum(F.when(F.col(column).isNotNull(), F.col(weight)).otherwise(0))
+        return F.try_divide(F.sum(F.col(column) * F.col(weight)), known)
+
+    return df.agg(F.coalesce(mean(latitude), F.lit(default[0])).alias("mid_latitude"),
+                  F.coalesce(mean(longitude), F.lit(default[1])).alias("mid_longitude"))
 
 
 def hex_density(df: DataFrame, latitude: str = "latitude", longitude: str = "longitude",
-                radius_m: float = 5000.0) -> DataFrame:
+                radius_m: float = 5000.0, weight: str | None = None) -> DataFrame:
     cells = hex_cell(F.col(latitude), F.col(longitude), radius_m)
     return (df.dropna(subset=[latitude, longitude])
             .groupBy(*[c.alias(name) for name, c in cells.items()])
-            .agg(F.count("*").alias("records")))
+            .agg(records(weight).alias("records")))
 
 
 def class_shares(df: DataFrame, split: str, column: str) -> DataFrame:

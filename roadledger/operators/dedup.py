@@ -18,6 +18,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return first.select(*[c if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
 
 
+def keep_first_by_id(df: DataFrame, keys: Sequence[str], order: Sequence[str], row_id: Sequence[str]) -> DataFrame:
+    """As ``keep_first`` for wide rows with a unique ``row_id``: only keys, order and ids are sorted and
+    shuffled, and the rows that aren't first leave by a join with the few ids of the repeats."""
+    return flag_repeats(df, keys, order, row_id).where("NOT is_repeat").drop("is_repeat")
+
+
 def flag_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str], row_id: Sequence[str],
                  name: str = "is_repeat") -> DataFrame:
     """Marks every row but the first of its key; nulls count as one key value.
@@ -37,7 +43,7 @@ def flag_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str], row_i
     firsts = least.select(*[F.col(f"_least.{i}").alias(c) for i, c in zip(ids, row_id)])
     repeats = written(rows.select(*row_id).join(firsts, list(row_id), "left_anti"), "repeats")
     marked = repeats.withColumn(name, F.lit(True))
-    return sized_join(df, marked, row_id, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    return sized_join(df, marked, row_id, "left", hot=[]).withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

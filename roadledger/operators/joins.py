@@ -1,6 +1,6 @@
 """Key lookups, star joins, insert-or-ignore and constraint checks.
 
-A side is broadcast only after it was counted, or where Spark itself knows its size; beyond that it
+A side is broadcast only as a stored table whose rows and bytes are known to be few; beyond that it
 is shuffled. What may be hot then is a key of the big side, so the shuffled case salts exactly the
 keys found to be hot.
 """
@@ -12,22 +12,29 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from roadledger.session import planned_bytes, stored, written
+
 # At most this many keys can each hold more than 1/256 of the rows, so the list is bounded.
 HOT_KEY_LIMIT = 256
 SALTS = 64
-# Rows a counted table may have to be broadcast: some tens of MB of keys.
-SMALL_TABLE = 200_000
+# Rows and (file) bytes a stored table may have to be broadcast.
+SMALL_TABLE, SMALL_BYTES = 200_000, 16 << 20
+
+
+def is_small(table: DataFrame) -> bool:
+    """Whether a stored table may be sent to every task."""
+    return planned_bytes(table) <= SMALL_BYTES and table.count() <= SMALL_TABLE
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], sample: float = 0.01) -> list[tuple]:
-    """Of the 256 most frequent keys of a sample those with over 1/256 of their rows.
+    """The keys that hold over 1/256 of the rows of a sample of ``df``, which should be a stored table.
 
     The sample is added up before its shuffle. It only decides where salt is spent: a key missed or listed wrongly changes no result.
     """
     drawn = df.select(*on).sample(sample, seed=7)
-    counted = drawn.groupBy(*on).agg(F.count("*").alias("_n"))
+    counted = written(drawn.groupBy(*on).agg(F.count("*").alias("_n")), "key_sample")
     top = counted.orderBy(F.desc("_n")).limit(HOT_KEY_LIMIT).collect()
-    total = sum(row["_n"] for row in top)
+    total = counted.agg(F.sum("_n")).first()[0] or 0
     return [tuple(row[c] for c in on) for row in top if row["_n"] >= 8 and row["_n"] * HOT_KEY_LIMIT > total]
 
 
@@ -36,7 +43,9 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     """Equi-join (inner or left) that spreads the hot keys of ``left`` over many tasks.
 
     Left rows of a hot key get a salt from a hash of their own values (the same on any retry);
-    the few right rows of those keys are copied once per salt. All other rows keep salt 0.
+    the few right rows of those keys are copied once per salt. All other rows keep salt 0. A key is
+    looked up by its hash in a set; another key of the same hash is salted on both sides alike.
+    Without ``hot`` the keys are sought in ``left``, which then should be a stored table.
     """
     if how not in ("inner", "left"):
         raise ValueError("salting keeps results only for inner and left joins")
@@ -44,11 +53,11 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     if not keys:
         return joined_on(left, right, on, how, null_safe)
 
+    kinds = [left.schema[c].dataType for c in on]
+    marks = [F.xxhash64(*[F.lit(v).cast(kind) for v, kind in zip(key, kinds)]) for key in keys]
+
     def is_hot(df: DataFrame) -> Column:
-        def same(key: tuple) -> Column:
-            return reduce(lambda a, b: a & b, [df[c].eqNullSafe(F.lit(v).cast(df.schema[c].dataType))
-                                               for c, v in zip(on, key)])
-        return reduce(lambda a, b: a | b, [same(k) for k in keys])
+        return F.xxhash64(*[df[c].cast(kind) for c, kind in zip(on, kinds)]).isin(*marks)
 
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(SALTS)).cast("int")
     salted = left.withColumn("_salt", F.when(is_hot(left), salt).otherwise(F.lit(0)))
@@ -67,14 +76,15 @@ def joined_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, nu
 
 
 def sized_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-               null_safe: bool = False) -> DataFrame:
-    """Broadcasts ``right`` if it was counted to be small, else shuffles with the hot keys salted.
+               null_safe: bool = False, hot: Sequence[tuple] | None = None) -> DataFrame:
+    """Broadcasts ``right`` (stored first, if it isn't) if it is small, else shuffles with hot keys salted.
 
-    ``right`` should be a stored table, or counting it repeats the work behind it.
+    ``hot`` are keys known to be hot in ``left``; an empty list says that none is.
     """
-    if right.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE:
+    right = stored(right, "sized")
+    if is_small(right):
         return joined_on(left, F.broadcast(right), on, how, null_safe)
-    return salted_join(left, right, on, how, null_safe=null_safe)
+    return salted_join(left, right, on, how, hot, null_safe)
 
 
 def lookup_key(facts: DataFrame, dimension: DataFrame, on: Mapping[str, str], key: str,
@@ -91,18 +101,19 @@ def lookup_key(facts: DataFrame, dimension: DataFrame, on: Mapping[str, str], ke
 
 
 def star_join(facts: DataFrame, dims: Sequence[tuple[DataFrame, str, Sequence[str]]],
-              fact_columns: Sequence[str] | None = None, large: Sequence[str] = ()) -> DataFrame:
+              fact_columns: Sequence[str] | None = None) -> DataFrame:
     """Inner joins of a fact table to (dimension, key, columns wanted), pruned on both sides.
 
-    The keys named in ``large`` belong to dimensions too big to broadcast: they are joined last,
-    with their hot keys salted.
+    Every dimension is a stored table (or made one), so its size is known: small ones are broadcast and
+    the facts stay where they are; larger ones are joined last, with the hot keys of the facts salted.
     """
     keys = [key for _, key, _ in dims]
     kept = list(fact_columns) if fact_columns is not None else [c for c in facts.columns if c not in keys]
     result = facts.select(*dict.fromkeys([*kept, *keys]))
-    for dim, key, columns in sorted(dims, key=lambda d: d[1] in large):
-        wanted = dim.select(key, *[c for c in columns if c != key])
-        result = salted_join(result, wanted, [key]) if key in large else result.join(wanted, key)
+    narrowed = [(stored(dim.select(key, *[c for c in columns if c != key]), "dimension"), key) for dim, key, columns in dims]
+    sized = [(wanted, key, is_small(wanted)) for wanted, key in narrowed]
+    for wanted, key, small in sorted(sized, key=lambda d: not d[2]):
+        result = result.join(F.broadcast(wanted), key) if small else salted_join(result, wanted, [key], hot=hot_keys(facts, [key]))
     wanted = [c for _, _, columns in dims for c in columns]
     return result.select(*dict.fromkeys([*kept, *wanted]))
 

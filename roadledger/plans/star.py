@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,7 +13,7 @@ from roadledger.functions.weather import inferred_columns
 from roadledger.operators import aggregates
 from roadledger.operators.dedup import distinct_rows, keep_first
 from roadledger.operators.gate import Rule, accounting, envelopes, incident_gate, passed
-from roadledger.operators.joins import SMALL_TABLE, attach_weather, lookup_key, only_new, star_join
+from roadledger.operators.joins import attach_weather, lookup_key, only_new, sized_join, star_join
 from roadledger.operators.ordering import number_rows
 from roadledger.schemas import READING_ORDER
 from roadledger.session import side_by_side, written
@@ -172,18 +172,48 @@ DIMENSION_KEYS = {"dim_date": "date_key", "dim_location": "location_key", "dim_r
 
 
 def star(tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]],
-         measures: list[str] = FACT_MEASURES, large: Sequence[str] = ()) -> DataFrame:
-    """Facts joined to the dimensions named in ``columns``; any subset of dimensions may be named.
+         measures: list[str] = FACT_MEASURES) -> DataFrame:
+    """Facts joined to the dimensions named in ``columns``; any subset of dimensions may be named."""
+    dims = [(tables[d], DIMENSION_KEYS[d], cols) for d, cols in columns.items()]
+    return star_join(tables["fact_incidents"], dims, measures)
 
-    ``large`` names dimensions to be joined with hot keys salted, see ``large_dimensions``.
-    """
+
+def summed_star(tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]], by: Sequence[str] = (),
+                sums: Sequence[str] = ()) -> DataFrame:
+    """The star added up by foreign keys (and the fact columns ``by``) before any dimension is joined:
+    ``records`` and ``sums`` per combination."""
     dims = [(tables[d], DIMENSION_KEYS[d], cols) for d, cols in columns.items()]
-    return star_join(tables["fact_incidents"], dims, measures, [DIMENSION_KEYS[d] for d in large])
+    summed = aggregates.pre_summed(tables["fact_incidents"], [*[key for _, key, _ in dims], *by], sums)
+    return star_join(summed, dims, [*by, "records", *sums])
 
 
-def large_dimensions(tables: Mapping[str, DataFrame]) -> list[str]:
-    """Dimensions with more rows than may be broadcast; locations grow with the incidents."""
-    return [d for d in ("dim_location",) if tables[d].limit(SMALL_TABLE + 1).count() > SMALL_TABLE]
+def pair_counts(tables: Mapping[str, DataFrame], pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Counts of several pairs of dashboard or fact columns: (first_name, second_name, first_value,
+    second_value, records), values as text.
+
+    One pass over the facts counts each pair by its two keys, added up before the shuffle; dimensions
+    are joined to those counts only.
+    """
+    place = {c: d for d, columns in DASHBOARD_COLUMNS.items() for c in columns}
+    keys = {c: DIMENSION_KEYS[place[c]] if c in place else c for pair in pairs for c in pair}
+    entries = F.array(*[F.struct(F.lit(n).alias("pair"), F.col(keys[a]).cast("bigint").alias("first"),
+                                 F.col(keys[b]).cast("bigint").alias("second")) for n, (a, b) in enumerate(pairs)])
+    counted = written(tables["fact_incidents"].select(F.explode(entries).alias("e")).groupBy("e.pair", "e.first", "e.second")
+                      .agg(F.count("*").alias("records")), "pair_counts")
+    parts = []
+    for n, pair in enumerate(pairs):
+        part = counted.where(F.col("pair") == n).drop("pair")
+        for side, column in zip(("first", "second"), pair):
+            if column in place:
+                values = tables[place[column]].select(F.col(keys[column]).cast("bigint").alias(side), F.col(column).alias(f"{side}_value"))
+                part = sized_join(part, values, [side], hot=[])
+            else:
+                part = part.withColumn(f"{side}_value", F.col(side))
+        named = [F.col(f"{side}_value").cast("string").alias(f"{side}_value") for side in ("first", "second")]
+        part = part.select(*named, "records").dropna().groupBy("first_value", "second_value").agg(F.sum("records").alias("records"))
+        parts.append(part.select(F.lit(pair[0]).alias("first_name"), F.lit(pair[1]).alias("second_name"), "first_value",
+                                 "second_value", "records"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def star_tables(warehouse: Warehouse) -> dict[str, DataFrame]:

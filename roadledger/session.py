@@ -71,6 +71,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame, label: str = "stored") -> DataFrame:
+    """``df`` if it reads files straight, under projections and filters at most, else its written copy."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return df if "Relation" in plan.nodeName() else written(df, label)
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """Size that Spark plans with; of a stored table, its files scaled to the columns read."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def deleted(spark: SparkSession, path: str) -> None:
     """Removes a folder of the shared store, whatever store that is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
