@@ -207,7 +207,8 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     blocks = written(blocks.select(F.monotonically_increasing_id().alias("block"), *[F.col(c).alias("q" + c) for c in names]),
                      "query-blocks")
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
-        longest = buckets.orderBy(F.desc("high"), "bucket").limit(1)
+        first_of = buckets.select("high", "bucket").orderBy(F.desc("high"), "bucket").limit(1).select("bucket")
+        longest = buckets.join(F.broadcast(first_of), "bucket")
         # One bucket, of a bounded number of vectors, is sent to all query blocks.
         seen = blocks.withColumn("floors", F.lit(None).cast("binary")).join(F.broadcast(longest))
         first = written(seen.select("block", "floors", *["q" + c for c in names], *names).mapInArrow(_searched(k), _FOUND), "first")
