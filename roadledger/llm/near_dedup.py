@@ -9,7 +9,8 @@ Two texts are linked when 100 * intersection >= 75 * union; a group is what link
 * First pass: every member of a bucket is held against the bucket's least node only. Second pass: where members
   of a bucket then lie in different components, those outside the first node's component are held against all
   members of other components, in chunks of a fixed size, so no pair sharing a bucket goes unseen and pairs inside
-  a component are never made.
+  a component are never made. Their sets are compared there and then, chunk by chunk; only one link of a text to each
+  component leaves the task, so a crowd of texts just below the threshold makes no rows of pairs.
 * A pair whose signatures agree in fewer than 192 of 256 bits is left (6 standard deviations below what 0.75
   gives), as is one whose sizes rule the link out; links of the rest are confirmed on full sets.
 
@@ -39,6 +40,8 @@ AGREEMENT = 192
 #: Members of a bucket that one row of the second pass holds on either side, and rows sent to Python at a time there
 #: and where pairs are held with both their sets.
 CHUNK, BATCH_ROWS = 128, 250
+#: The same where members carry their sets; cells of a table of sets and shingles that is made for a pair of chunks.
+SET_CHUNK, SET_ROWS, DENSE = 64, 16, 1 << 24
 SIGNATURE = ["s0", "s1", "s2", "s3"]
 _SKETCHED = (f"{FILE} bigint, {ROW} bigint, id bigint, same binary, n bigint, s0 bigint, s1 bigint, s2 bigint, "
              "s3 bigint, bands array<bigint>")
@@ -105,23 +108,59 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components between two chunks of a bucket that signatures and sizes allow."""
+def _plausible_pairs(left: dict, right: dict, head: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different components that signatures and sizes allow, by place, but for those with ``head``."""
+    agree = np.full((len(left["uid"]), len(right["uid"])), BITS, np.int64)
+    for name in SIGNATURE:
+        agree -= np.bitwise_count((left[name][:, None] ^ right[name][None, :]).view(np.uint64))
+    small, large = np.minimum.outer(left["n"], right["n"]), np.maximum.outer(left["n"], right["n"])
+    return np.nonzero((agree >= AGREEMENT) & (100 * small >= 75 * large) & (right["uid"] != head)[None, :]
+                      & (left["component"][:, None] != right["component"][None, :]))
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[dict, dict, int]]:
+    """(others, members, head) of every row, as arrays."""
+    sides = [_members(batch.column(side)) for side in ("others", "members")]
+    for k, head in enumerate(batch.column("head").to_pylist()):
+        yield *({name: values[offsets[k]:offsets[k + 1]] for name, values in fields.items()} for offsets, fields in sides), head
+
+
+def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of a batch that have plausible pairs."""
+    for batch in batches:
+        uids = [np.zeros(0, np.int64)]
+        for left, right, head in _chunks(batch):
+            i, j = _plausible_pairs(left, right, head)
+            uids += [left["uid"][i], right["uid"][j]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(uids)))], names=["uid"])
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of one side with all of the other."""
+    words, code = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in [*left, *right]])
+    if len(words) * (len(left) + len(right)) <= DENSE:
+        held = np.zeros((len(left) + len(right), len(words)), np.float32)
+        held[owner, code] = 1
+        return (held[:len(left)] @ held[len(left):].T).astype(np.int64)
+    return np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in right] for x in left])
+
+
+def _links_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text's links, confirmed on full sets, one for every other component of a chunk."""
     for batch in batches:
         found = [np.zeros((0, 2), np.int64)]
-        heads = batch.column("head").to_numpy()
-        sides = [_members(batch.column(side)) for side in ("others", "members")]
-        for k in range(batch.num_rows):
-            left, right = ({name: values[offsets[k]:offsets[k + 1]] for name, values in fields.items()}
-                           for offsets, fields in sides)
-            agree = np.full((len(left["uid"]), len(right["uid"])), BITS, np.int64)
-            for name in SIGNATURE:
-                agree -= np.bitwise_count((left[name][:, None] ^ right[name][None, :]).view(np.uint64))
-            small, large = np.minimum.outer(left["n"], right["n"]), np.maximum.outer(left["n"], right["n"])
-            i, j = np.nonzero((agree >= AGREEMENT) & (100 * small >= 75 * large)
-                              & (left["component"][:, None] != right["component"][None, :])
-                              & (right["uid"] != heads[k])[None, :])
-            found.append(np.stack([left["uid"][i], right["uid"][j]], axis=1))
+        for left, right, head in _chunks(batch):
+            i, j = _plausible_pairs(left, right, head)
+            if not len(i):
+                continue
+            rows, columns = np.unique(i), np.unique(j)
+            sets = [[np.frombuffer(side["shingles"][k], np.uint64) for k in places] for side, places in ((left, rows), (right, columns))]
+            both = _common(*sets)[np.searchsorted(rows, i), np.searchsorted(columns, j)]
+            good = 100 * both >= 75 * (left["n"][i] + right["n"][j] - both)
+            i, j = i[good], j[good]
+            _, first = np.unique(np.stack([i, right["component"][j]], axis=1), axis=0, return_index=True)
+            found.append(np.stack([left["uid"][i[first]], right["uid"][j[first]]], axis=1))
         pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
@@ -159,24 +198,41 @@ def _plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
                        & (100 * F.least("an", "bn") >= 75 * F.greatest("an", "bn"))).select("a", "b")
 
 
-def _second_pass(members: DataFrame, groups: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Plausible pairs that share a bucket across components, but for those with the bucket's first node."""
-    of = groups.select(F.col("node").alias("uid"), "component")
-    placed = members.where("size > 2").join(of, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
-    heads = placed.where("uid = head").select("band", F.col("component").alias("first"))
-    mixed_up = written(placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                       .where("low < high").select("band").join(heads, "band"), "mixed-buckets")
-    placed = written(placed.join(mixed_up, "band").join(sketches.select("uid", "n", *SIGNATURE), "uid"), "mixed-members")
-    member = F.struct("uid", "component", "n", *SIGNATURE)
-    chunk = F.pmod(F.xxhash64("uid"), F.ceil(F.col("size") / CHUNK)).alias("chunk")
+def _chunk_pairs(placed: DataFrame, member: list[str], size: int) -> DataFrame:
+    """Rows of (head, others, members): every chunk of a bucket's others, those outside the component of its first
+    node, with every chunk of its members."""
+    chunk = F.pmod(F.xxhash64("uid"), F.ceil(F.col("size") / size)).alias("chunk")
 
     def chunks(rows: DataFrame, name: str) -> DataFrame:
-        # A chunk holds about CHUNK members whatever the size of its bucket.
-        return rows.groupBy("band", "head", chunk).agg(F.collect_list(member).alias(name)).drop("chunk")
+        # A chunk holds about ``size`` members whatever the size of its bucket.
+        return rows.groupBy("band", "head", chunk).agg(F.collect_list(F.struct(*member)).alias(name)).drop("chunk")
+
+    return chunks(placed.where("component <> first"), "others").join(chunks(placed, "members"), ["band", "head"]).select(
+        "head", "others", "members")
 
-    both = chunks(placed.where("component <> first"), "others").join(chunks(placed, "members"), ["band", "head"])
-    with settings(members.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
-        return written(both.select("head", "others", "members").mapInArrow(_across, "a bigint, b bigint").distinct(), "across")
+
+def _second_pass(members: DataFrame, groups: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Links between components that share a bucket: for every text at least one to each component it is linked to
+    there. So merging them gives the groups that all links give."""
+    spark = members.sparkSession
+    placed = members.where("size > 2").join(groups.select(F.col("node").alias("uid"), "component"), "uid", "left").withColumn(
+        "component", F.coalesce("component", "uid"))
+    heads = placed.where("uid = head").select("band", F.col("component").alias("first"))
+    several = written(placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                      .where("low < high").select("band").join(heads, "band"), "mixed-buckets")
+    placed = written(placed.join(several, "band").join(sketches.select("uid", "n", *SIGNATURE), "uid"), "mixed-members")
+    member = ["uid", "component", "n", *SIGNATURE]
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
+        partners = written(_chunk_pairs(placed, member, CHUNK).mapInArrow(_partners, "uid bigint").distinct(), "partners")
+    wanted = written(sketches.select("uid", *ADDRESS).join(partners, "uid"), "wanted")
+    sets = written(narrow_join(texts, wanted, ADDRESS, "inner").select("uid", "text")
+                   .mapInArrow(_sets, "uid bigint, shingles binary"), "sets")
+    # Buckets of texts with plausible pairs meet again, now with their sets.
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(SET_ROWS)):
+        links = written(_chunk_pairs(placed.join(sets, "uid"), [*member, "shingles"], SET_CHUNK)
+                        .mapInArrow(_links_across, "a bigint, b bigint").distinct(), "links-across")
+    dropped(spark, several, placed, partners, wanted, sets)
+    return links
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -198,11 +254,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pairs = written(_plausible(pairs, sketches), "pairs")
     links = _confirmed(pairs, texts, sketches)
     groups = written(components(links), "groups")
-    more = written(_second_pass(members, groups, sketches).join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-    if more.count():
-        links = links.unionByName(_confirmed(more, texts, sketches))
-        groups = written(components(links), "groups")
-    dropped(spark, members, pairs, more)
+    across = _second_pass(members, groups, texts, sketches)
+    groups = written(components(links.unionByName(across)), "groups")
+    dropped(spark, members, pairs)
     placed = (sketches.select("uid", "id", "n", *ADDRESS).join(copies, "uid", "left")
               .withColumn("node", F.coalesce("node", "uid")).join(groups, "node", "left"))
     placed = written(placed.select("id", "n", *ADDRESS, F.coalesce("component", "node").alias("root")), "placed")

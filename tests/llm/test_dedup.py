@@ -1,6 +1,7 @@
 """Exact and near dedup against brute force."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -98,6 +99,24 @@ def test_near_groups(spark):
     assert sum(r.stays for r in out) == len(groups)
 
 
+def crowd(n, seed=4):
+    """Edits of one text, most of them too many to be linked to the others."""
+    pick, base, out = random.Random(seed), prose(20, 100).split(), []
+    for i in range(n):
+        words = base[:]
+        for place in pick.sample(range(100), pick.randint(0, 8)):
+            words[place] = f"w{i}x{place}" if pick.random() < 0.9 else f"shared{pick.randint(0, 3)}"
+        out.append((1000 + i, " ".join(words)) + (None,) * 6)
+    return out
+
+
+def test_near_groups_in_a_crowd(spark):
+    rows = crowd(260)
+    out = near_groups(table(spark, rows)).collect()
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in out], key=repr) == near_by_hand(rows)
+    assert 20 < len({r.component_id for r in out}) < 200
+
+
 def test_near_dedup_edges(spark):
     out = near_dedup(table(spark, awkward_rows()))
     assert out.columns == [c.split()[0] for c in LAYOUT.split(", ")]

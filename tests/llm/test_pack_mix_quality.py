@@ -100,6 +100,23 @@ def test_statistics_do_not_depend_on_the_neighbours():
     assert statistics(pa.array([], pa.string())).shape == (0, len(NAMES))
 
 
+def test_parts_of_a_batch_read_like_single_texts():
+    """Every helper over Arrow columns gives the same for a part of a batch as for a text alone."""
+    import pyarrow as pa
+
+    from roadledger.llm.packing import token_ids
+    from roadledger.llm.shingles import shingle_sets, slices, word_lists
+
+    texts = [t or "" for t in (r[1] for r in awkward_rows())] + odd_texts()[:50] + ["ÄÖÜ Straße É. x", "Ünï, ÇA."]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(len(texts)))], names=["text", "n"])
+    parts = list(slices([batch], "text", 500))
+    assert [n for p in parts for n in p.column("n").to_pylist()] == list(range(len(texts))) and len(parts) > 20
+    for run in (lambda a: list(statistics(a)), lambda a: list(shingle_sets(*word_lists(a))), lambda a: token_ids(a, PATH)):
+        together = [x for p in parts for x in run(p.column("text"))]
+        alone = [run(pa.array([t]))[0] for t in texts]
+        assert all(np.array_equal(x, y) for x, y in zip(together, alone, strict=True))
+
+
 def test_trees():
     random = np.random.default_rng(5)
     x = random.normal(size=(3000, 4)).astype(np.float32)
