@@ -5,8 +5,11 @@ own, the rest of each document is an item. Documents are dealt by a hash of thei
 ``GROUP_BYTES`` of text, so a group is bounded at any input size and evenly filled whatever its ids or sources; each
 group is packed by one task. Only token ids are shuffled.
 
-A chunk between spaces or line feeds is tokenised once per batch and looked up after that; this equals tokenising
-the whole text for tokenizers that drop white space and never merge across it (``word_bpe_49k.json`` is one).
+Words are tokenised once per batch and looked up after that. This equals tokenising the whole text for tokenizers that
+lower the case, drop white space, never merge across it, part letters from stops, and mark the last token of a word
+(``word_bpe_49k.json`` is one): texts are lowered (A-Z), stops are set off from the letters before them, and what is
+then between spaces or line feeds is one chunk. New chunks of Latin letters alone are tokenised many at a time and
+told apart by the mark.
 
 Defined results: null or empty text is the end id alone; equal lengths are placed in address order; repeated rows are
 packed one by one; a null id stays null; an empty table gives no rows; other columns are neither read nor returned.
@@ -14,6 +17,7 @@ packed one by one; a null id stays null; an empty table gives no rows; other col
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,40 +31,87 @@ from roadledger.llm.shingles import slices
 LENGTH = 2048
 END_ID = 1
 GROUP_BYTES = 4 << 20
-#: Chunks a Python worker remembers; beyond that it starts anew.
-REMEMBERED = 500_000
+#: Chunks a Python worker remembers anew before it forgets those it has not met since the last time.
+REMEMBERED = 200_000
+#: Words of Latin letters that are tokenised as one text.
+JOINED = 256
+LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 #: Sequence numbers of a group start at its number times this.
 GROUP_STEP = 1 << 32
-_KNOWN: dict[str, tuple] = {}
+_KNOWN: dict[str, Words] = {}
 
 
-def _tokenizer(path: str) -> tuple:
-    """The tokenizer, its remembered chunks and the type of its ids, once per Python worker."""
-    if path not in _KNOWN:
+class Words:
+    """A tokenizer and the chunks it has met, once per Python worker."""
+
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        loaded = Tokenizer.from_file(path)
-        _KNOWN[path] = loaded, {}, np.uint16 if loaded.get_vocab_size() <= 1 << 16 else np.uint32
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = np.uint16 if max(vocabulary.values()) < 1 << 16 else np.uint32
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[code for token, code in vocabulary.items() if token.endswith("</w>")]] = True
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk, as bytes."""
+        if len(self.recent) > REMEMBERED:
+            self.older, self.recent = self.recent, {}
+        recent, older = self.recent, self.older
+        new = []
+        for chunk in chunks:
+            if chunk not in recent:
+                known = older.get(chunk)
+                if known is None:
+                    new.append(chunk)
+                else:
+                    recent[chunk] = known
+        latin = [c for c in new if LATIN.fullmatch(c)]
+        self._learn_words(latin)
+        self._learn([c for c in new if c not in recent])
+        return [recent[c] for c in chunks]
+
+    def _learn(self, chunks: list[str]) -> None:
+        for chunk, found in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
+            self.recent[chunk] = np.array(found.ids, self.kind).tobytes()
+
+    def _learn_words(self, words: list[str]) -> None:
+        lines = [words[k:k + JOINED] for k in range(0, len(words), JOINED)]
+        for line, found in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
+            ids = np.array(found.ids, self.kind)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(line) or not len(stops) or stops[-1] != len(ids):
+                continue  # not one marked end a word: each is tokenised alone
+            raw, size = ids.tobytes(), ids.itemsize
+            self.recent.update((word, raw[a * size:b * size]) for word, a, b in zip(line, [0, *stops[:-1].tolist()], stops.tolist()))
+
+
+def _tokenizer(path: str) -> Words:
+    if path not in _KNOWN:
+        _KNOWN[path] = Words(path)
     return _KNOWN[path]
 
 
+def _plain(texts: pa.Array) -> pa.Array:
+    """Texts as chunks between single spaces; texts that may name special tokens keep their case."""
+    special = pc.match_substring(texts, "<|")
+    texts = pc.if_else(special, texts, pc.ascii_lower(texts))
+    return pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), r"([a-z])([.,])", r"\1 \2")
+
+
 def token_ids(texts: pa.Array, path: str) -> list[np.ndarray]:
     """Ids of each text, without the end id."""
-    tokenizer, known, kind = _tokenizer(path)
-    lists = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+    words = _tokenizer(path)
+    lists = pc.split_pattern(_plain(texts.cast(pa.large_string())), " ")
     chunks, of = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
     coded = chunks.dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    if len(known) + len(distinct) > REMEMBERED:
-        known.clear()
-    new = [c for c in distinct if c not in known]
-    for chunk, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        known[chunk] = np.array(found.ids, kind).tobytes()
-    each = [known[c] for c in distinct]
-    flat = np.frombuffer(b"".join(each), kind)
+    each = words.ids(coded.dictionary.to_pylist())
+    flat = np.frombuffer(b"".join(each), words.kind)
     size = np.fromiter(map(len, each), np.int64, len(each)) // flat.itemsize
     first = np.cumsum(size) - size
     code = coded.indices.to_numpy() if len(chunks) else np.zeros(0, np.int64)
@@ -107,7 +158,7 @@ _PIECES = (f"id bigint, {FILE} bigint, {ROW} bigint, start bigint, length bigint
 
 def _tokenised(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = _tokenizer(path)[2]
+        kind = _tokenizer(path).kind
         end = np.array([end_id], kind).tobytes()
         for part in slices(batches, "text", 8 << 20):
             ids = [i.tobytes() + end for i in token_ids(part.column("text"), path)]
@@ -119,7 +170,7 @@ def _tokenised(path: str, end_id: int):
 
 def _packed(path: str, length: int):
     def run(table: pa.Table) -> pa.Table:
-        kind = _tokenizer(path)[2]
+        kind = _tokenizer(path).kind
         table = table.sort_by([(FILE, "ascending"), (ROW, "ascending")])
         docs = [np.frombuffer(x, kind) for x in table.column("ids").to_pylist()]
         first = table.column("group")[0].as_py() * GROUP_STEP
