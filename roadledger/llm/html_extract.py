@@ -95,9 +95,12 @@ def made_up_pages(count: int = MADE_UP, seed: int = 11) -> list[str]:
 
 def fit_labeller(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", fit_pages: int = FIT_PAGES) -> dict:
     """Weights of the labeller, trained on a bounded sample and made-up pages."""
-    text = text_of(pages, html_col)
-    sample = (pages.where(F.char_length(text).between(1, FIT_CHARS)).select(pages[id_col].alias("id"), text.alias("html"))
-              .orderBy(F.xxhash64("id"), "id", "html").limit(fit_pages).collect())
+    rows = addressed(pages, "pages")
+    text = text_of(rows, html_col)
+    # The addresses of the sample are chosen first, so that no other page travels.
+    chosen = (rows.where(F.char_length(text).between(1, FIT_CHARS)).select(F.xxhash64(rows[id_col]).alias("order"), *ADDRESS)
+              .orderBy("order", *ADDRESS).limit(fit_pages).select(*ADDRESS))
+    sample = rows.select(*ADDRESS, text.alias("html")).join(F.broadcast(chosen), ADDRESS).orderBy(*ADDRESS).collect()
     known = [(page, weak_labels(page)) for page in (blocks(r.html) for r in sample)]
     known += [(page, weak_labels(page, CONTENT)) for page in map(blocks, made_up_pages())]
     known = [(page, y) for page, y in known if y is not None and len(page)]
