@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -117,9 +118,9 @@ def init_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("a_run_log", """SELECT event_type AS run_name, 'events' AS source, count(*)::DOUBLE AS records FROM events GROUP BY 1""")
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = Warehouse(spark, fresh_path(spark, "warehouse"))
-    # One run per event type; types are few by definition.
-    for row in aggregates.value_counts(table(spark, sf_dir, "events"), "event_type").collect():
-        reports.log_run(warehouse, row["event_type"], {"source": "events"}, {"records": row["records"]})
+    # One run per event type; types are few by definition, and all runs are one write.
+    counts = aggregates.value_counts(table(spark, sf_dir, "events"), "event_type").collect()
+    reports.log_runs(warehouse, [(r["event_type"], {"source": "events"}, {"records": r["records"]}, {}) for r in counts])
     return warehouse.read("experiment_runs").select(
         "run_name", F.col("params")["source"].alias("source"), F.col("metrics")["records"].alias("records"))
 
@@ -144,7 +145,9 @@ def quarantine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("a_evaluation_report", f"""SELECT 'roundtrip' AS source, CAST(round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) * 1000000) AS BIGINT) AS accuracy
-FROM ({JUDGED_SQL}) UNION ALL SELECT 'defaults', 792000""")
+FROM ({JUDGED_SQL}) UNION ALL SELECT 'defaults', 792000 UNION ALL SELECT 'support', count(*) FROM ({JUDGED_SQL})
+UNION ALL SELECT 'support of ' || CASE label WHEN 0 THEN '{CLASS_LABELS[0]}' WHEN 1 THEN '{CLASS_LABELS[1]}' ELSE '{CLASS_LABELS[2]}' END, count(*)
+FROM ({JUDGED_SQL}) GROUP BY label""")
 def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = measures(judged(spark, sf_dir), "label", "prediction")
     report = reports.evaluation_report(parts["report"], parts["averages"], CLASS_LABELS, "Forest")
@@ -153,7 +156,10 @@ def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = reports.latest_report(spark, folder, "test_evaluation_report", report.schema)
     figures = reports.headline_figures(back).select(F.lit("roundtrip").alias("source"), "overall_accuracy")
     defaults = reports.headline_figures(back.select("champion_model")).select(F.lit("defaults").alias("source"), "overall_accuracy")
-    return figures.unionByName(defaults).select("source", F.round(F.col("overall_accuracy") * F.lit(1000000.0)).cast("bigint").alias("accuracy"))
+    shares = figures.unionByName(defaults).select("source", F.round(F.col("overall_accuracy") * F.lit(1000000.0)).cast("bigint").alias("accuracy"))
+    supports = {"support": F.col("`macro avg`.support"), **{f"support of {n}": F.col(f"`{n}`.support") for n in CLASS_LABELS}}
+    return reduce(DataFrame.unionByName, [back.select(F.lit(n).alias("source"), c.cast("bigint").alias("accuracy"))
+                                          for n, c in supports.items()], shares)
 
 
 # One payload per user and day, with one entry per hour that has events (at most 24).

@@ -10,7 +10,6 @@ MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July", "
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 DAY_PERIODS = [("Morning Rush", 6, 10), ("Midday", 10, 16), ("Evening Rush", 16, 20)]
 OTHER_PERIOD = "Night"
-PERIOD_ORDER = ["Morning Rush", "Midday", "Evening Rush", "Night"]
 UNPARSED_TIME = "2024-06-01 12:00:00"
 
 
@@ -26,19 +25,18 @@ def parse_when(date_text: Column, time_text: Column, day_first: bool = True) ->
     no session time zone can shift the hour.
     """
     text = F.concat(F.trim(date_text), F.lit(" "), F.substring(F.trim(time_text), 1, 5))
-    iso = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2}) (\d{1,2}):(\d{2})$"
-    tail_year = r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4}) (\d{1,2}):(\d{2})$"
-
-    def stamp(pattern: str, year: int, month: int, day: int) -> Column:
-        def part(group: int) -> Column:
-            return F.regexp_extract(text, pattern, group).try_cast("int")
-
-        # An hour or minute out of range makes the whole stamp null, like an impossible date.
-        return F.try_make_timestamp_ntz(part(year), part(month), part(day), part(4), part(5),
-                                        F.lit(0).cast("decimal(8,6)"))
-
-    day, month = (1, 2) if day_first else (2, 1)
-    return F.coalesce(stamp(iso, 1, 2, 3), stamp(tail_year, 3, month, day))
+    shape = r"^(\d{4}[-/]\d{1,2}[-/]\d{1,2}|\d{1,2}[-/]\d{1,2}[-/]\d{4}) \d{1,2}:\d{2}$"
+    parts = F.split(text, "[-/ :]")
+
+    def part(iso_place: int, tail_place: int) -> Column:
+        year_first = F.length(F.get(parts, F.lit(0))) == 4
+        return F.get(parts, F.when(year_first, F.lit(iso_place)).otherwise(F.lit(tail_place))).try_cast("int")
+
+    day, month = (0, 1) if day_first else (1, 0)
+    # An hour or minute out of range makes the whole stamp null, like an impossible date.
+    stamp = F.try_make_timestamp_ntz(part(0, 2), part(1, month), part(2, day), part(3, 3), part(4, 4),
+                                     F.lit(0).cast("decimal(8,6)"))
+    return F.when(text.rlike(shape), stamp)
 
 
 def incident_time(date_text: Column, time_text: Column, day_first: bool = True,

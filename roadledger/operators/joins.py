@@ -128,6 +128,16 @@ def only_new(candidates: DataFrame, existing: DataFrame, on: Sequence[str]) -> D
     return candidates.join(known, null_safe_match(candidates, known, on), "left_anti")
 
 
+def only_new_to_history(candidates: DataFrame, history: DataFrame, on: Sequence[str]) -> DataFrame:
+    """As ``only_new`` for a history far larger than the batch: its keys are first cut down to those of the
+    batch, which are sent to where the history lies while they are few. Both sides should be stored tables."""
+    wanted = written(candidates.select(*on).distinct(), "wanted_keys")
+    small, known = is_small(wanted), history.select(*on)
+    asked = F.broadcast(wanted) if small else wanted
+    held = written(known.join(asked, null_safe_match(known, wanted, on), "left_semi").distinct(), "held_keys")
+    return candidates.join(F.broadcast(held) if is_small(held) else held, null_safe_match(candidates, held, on), "left_anti")
+
+
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with the number of rows."""
     return df.groupBy(*keys).agg(F.count("*").alias("rows_with_key")).where("rows_with_key > 1")

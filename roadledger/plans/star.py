@@ -13,7 +13,7 @@ from roadledger.functions.weather import inferred_columns
 from roadledger.operators import aggregates
 from roadledger.operators.dedup import distinct_rows, keep_first
 from roadledger.operators.gate import Rule, accounting, envelopes, incident_gate, passed
-from roadledger.operators.joins import attach_weather, lookup_key, only_new, sized_join, star_join
+from roadledger.operators.joins import attach_weather, lookup_key, only_new, only_new_to_history, sized_join, star_join
 from roadledger.operators.ordering import number_rows
 from roadledger.schemas import READING_ORDER
 from roadledger.session import side_by_side, written
@@ -143,11 +143,12 @@ def load_star(warehouse: Warehouse, valid: DataFrame, day_first: bool = True,
         lambda: extend_dimension(warehouse, "dim_location", location_rows(incidents), "location_key", LOCATION_KEY_COLUMNS),
         lambda: extend_dimension(warehouse, "dim_road", road_rows(incidents), "road_key", ROAD_KEY_COLUMNS),
         lambda: extend_dimension(warehouse, "dim_weather", weather_rows(incidents), "weather_key", ["weather_condition"]))
-    keyed = with_dimension_keys(incidents, warehouse.read("dim_location"), warehouse.read("dim_road"),
+    # Rows that are facts already leave before any lookup, so a repeated load looks up nothing.
+    fresh = only_new_to_history(incidents, warehouse.read("fact_incidents"), ["accident_index"])
+    keyed = with_dimension_keys(fresh, warehouse.read("dim_location"), warehouse.read("dim_road"),
                                 warehouse.read("dim_weather"), full_location_key)
     facts = keyed.select(*FACT_COLUMNS) if unique else fact_rows(keyed)
-    fresh = only_new(facts, warehouse.read("fact_incidents"), ["accident_index"])
-    warehouse.append("fact_incidents", numbered_facts(fresh, warehouse.max_key("fact_incidents", "accident_key")))
+    warehouse.append("fact_incidents", numbered_facts(facts, warehouse.max_key("fact_incidents", "accident_key")))
 
 
 # The columns of each star projection, by dimension.

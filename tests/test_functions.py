@@ -101,7 +101,6 @@ def test_cleaning(spark):
     rows = spark.createDataFrame([("1.5",), ("x",), (None,), ("NaN",)], "t string")
     assert [r[0] for r in rows.select(cleaning.number_or_zero(F.col("t"))).collect()] == [1.5, 0.0, 0.0, 0.0]
     assert one(spark, cleaning.text_or_unknown(F.lit(None).cast("string"))) == "Unknown"
-    assert one(spark, cleaning.nan_to_null(F.lit(float("nan")))) is None
 
 
 def test_coordinates(spark):

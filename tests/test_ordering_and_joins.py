@@ -64,13 +64,25 @@ def test_salted_join_with_null_safe_and_array_keys(spark):
 def test_sized_join_takes_both_ways(spark, monkeypatch):
     left = spark.range(1000).select("id", (F.col("id") % 5).alias("k"))
     right = spark.range(4).select(F.col("id").alias("k"), F.lit("x").alias("w"))
-    small = joins.sized_join(left, right, ["k"], "left")
-    monkeypatch.setattr(joins, "SMALL_TABLE", 2)
-    large = joins.sized_join(left, right, ["k"], "left")
-    assert small.exceptAll(large).isEmpty() and large.count() == 1000
     dims = [(right.withColumnRenamed("k", "d_key"), "d_key", ["w"])]
     facts = left.withColumnRenamed("k", "d_key")
-    assert joins.star_join(facts, dims, ["id"], large=["d_key"]).count() == joins.star_join(facts, dims, ["id"]).count() == 800
+    small, small_star = joins.sized_join(left, right, ["k"], "left"), joins.star_join(facts, dims, ["id"])
+    monkeypatch.setattr(joins, "SMALL_TABLE", 2)
+    large, large_star = joins.sized_join(left, right, ["k"], "left"), joins.star_join(facts, dims, ["id"])
+    assert small.exceptAll(large).isEmpty() and large.count() == 1000
+    assert small_star.exceptAll(large_star).isEmpty() and large_star.count() == 800
+
+
+def test_a_flat_table_has_no_hot_key(spark):
+    assert joins.hot_keys(spark.range(200_000).select((F.col("id") % 2000).alias("k")), ["k"], 0.5) == []
+
+
+def test_only_new_to_history(spark, monkeypatch):
+    held = spark.createDataFrame([("a",), ("b",), (None,), ("z",)], "k string")
+    rows = spark.createDataFrame([("a", 1), ("c", 2), (None, 3), ("c", 4)], "k string, n int")
+    for _ in range(2):
+        assert sorted(r["n"] for r in joins.only_new_to_history(rows, held, ["k"]).collect()) == [2, 4]
+        monkeypatch.setattr(joins, "SMALL_TABLE", 0)
 
 
 @pytest.mark.parametrize("ties", [False, True])
