@@ -6,6 +6,7 @@ import contextlib
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,8 +25,9 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    with contextlib.redirect_stdout(sys.stderr):
-        spark = build_session("bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="12g")
+    with contextlib.redirect_stdout(sys.stderr), tempfile.TemporaryDirectory(prefix="bench-") as work:
+        spark = build_session("bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="12g",
+                              spark__checkpoint__dir=work)
         spark.sparkContext.setLogLevel("ERROR")
         # One pass over the fact table first, so that the start of the JVM is not counted as a query.
         spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count().collect()

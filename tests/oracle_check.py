@@ -8,6 +8,7 @@ from __future__ import annotations
 import glob
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -51,7 +52,8 @@ def main() -> int:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
-    spark = build_session("oracle_check", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g")
+    spark = build_session("oracle_check", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g",
+                          spark__checkpoint__dir=tempfile.mkdtemp(prefix="oracle-"))
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), 0
     for name in names:
