@@ -24,8 +24,16 @@ def pre_summed(facts: DataFrame, keys: Sequence[str], sums: Sequence[str] = ())
         F.count("*").alias("records"), *[F.sum(c).alias(c) for c in sums])
 
 
+def hourly_sums(facts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return pre_summed(facts, [*by, "date_key", "severity_key"], ["number_of_casualties", "number_of_vehicles"])
+
+
 def hourly_severity_mart(facts: DataFrame, dates: DataFrame, severities: DataFrame) -> DataFrame:
-    summed = pre_summed(facts, ["date_key", "severity_key"], ["number_of_casualties", "number_of_vehicles"])
+    return hourly_severity_mart_of(hourly_sums(facts), dates, severities)
+
+
+def hourly_severity_mart_of(summed: DataFrame, dates: DataFrame, severities: DataFrame) -> DataFrame:
+    """The mart from ``hourly_sums``, which may be split by more keys."""
     keys = ["day_name", "day_of_week", "hour", "time_of_day", "severity_name"]
     joined = star_join(summed, [(dates, "date_key", keys[:4]), (severities, "severity_key", keys[4:])])
     return joined.groupBy(*keys).agg(
@@ -34,12 +42,21 @@ def hourly_severity_mart(facts: DataFrame, dates: DataFrame, severities: DataFra
         F.sum("number_of_vehicles").alias("total_vehicles"))
 
 
-def weather_road_mart(facts: DataFrame, weather: DataFrame, roads: DataFrame,
-                      severities: DataFrame) -> DataFrame:
-    summed = facts.groupBy("weather_key", "road_key", "severity_key").agg(
+def weather_road_sums(facts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return facts.groupBy(*by, "weather_key", "road_key", "severity_key").agg(
         F.count("*").alias("records"),
         F.sum("number_of_casualties").alias("casualties"),
         F.count("number_of_casualties").alias("counted"))
+
+
+def weather_road_mart(facts: DataFrame, weather: DataFrame, roads: DataFrame,
+                      severities: DataFrame) -> DataFrame:
+    return weather_road_mart_of(weather_road_sums(facts), weather, roads, severities)
+
+
+def weather_road_mart_of(summed: DataFrame, weather: DataFrame, roads: DataFrame,
+                         severities: DataFrame) -> DataFrame:
+    """The mart from ``weather_road_sums``, which may be split by more keys."""
     keys = ["weather_condition", "weather_risk_level", "road_type", "road_surface_conditions",
             "speed_limit", "severity_name"]
     joined = star_join(summed, [(weather, "weather_key", keys[:2]), (roads, "road_key", keys[2:5]),
@@ -55,9 +72,18 @@ def severity_counts(weight: Column) -> list[Column]:
             for s in SEVERITIES]
 
 
+def hotspot_sums(facts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return pre_summed(facts, [*by, "location_key", "severity_key"], ["number_of_casualties"])
+
+
 def hotspot_mart(facts: DataFrame, locations: DataFrame, severities: DataFrame,
                  min_count: int = 1) -> DataFrame:
-    summed = pre_summed(facts, ["location_key", "severity_key"], ["number_of_casualties"])
+    return hotspot_mart_of(hotspot_sums(facts), locations, severities, min_count)
+
+
+def hotspot_mart_of(summed: DataFrame, locations: DataFrame, severities: DataFrame,
+                    min_count: int = 1) -> DataFrame:
+    """The mart from ``hotspot_sums``, which may be split by more keys."""
     joined = star_join(summed, [
         (locations, "location_key", ["latitude", "longitude", "local_authority", "urban_or_rural"]),
         (severities, "severity_key", ["severity_name"])])

@@ -13,7 +13,8 @@ from roadledger.functions.weather import inferred_columns
 from roadledger.operators import aggregates
 from roadledger.operators.dedup import distinct_rows, keep_first
 from roadledger.operators.gate import Rule, accounting, envelopes, incident_gate, passed
-from roadledger.operators.joins import attach_weather, lookup_key, only_new, only_new_to_history, sized_join, star_join
+from roadledger.operators.joins import (attach_weather, lookup_key, null_safe_match, only_new, only_new_to_history,
+                                        sized_join, star_join)
 from roadledger.operators.ordering import number_rows
 from roadledger.schemas import READING_ORDER
 from roadledger.session import side_by_side, written
@@ -99,6 +100,7 @@ def numbered_facts(facts: DataFrame, after: int) -> DataFrame:
     """Unique, increasing keys without ordering the facts; they leave gaps like a sequence does."""
     return facts.withColumns({
         "accident_key": F.lit(after + 1).cast("bigint") + F.monotonically_increasing_id(),
+        "date_month": F.floor(F.col("date_key") / 10000).cast("int"),  # facts are stored by month
         "created_at": F.current_timestamp()})
 
 
@@ -148,7 +150,9 @@ def load_star(warehouse: Warehouse, valid: DataFrame, day_first: bool = True,
     keyed = with_dimension_keys(fresh, warehouse.read("dim_location"), warehouse.read("dim_road"),
                                 warehouse.read("dim_weather"), full_location_key)
     facts = keyed.select(*FACT_COLUMNS) if unique else fact_rows(keyed)
-    warehouse.append("fact_incidents", numbered_facts(facts, warehouse.max_key("fact_incidents", "accident_key")))
+    numbered = numbered_facts(facts, warehouse.max_key("fact_incidents", "accident_key"))
+    # Months together, so that each gets few files; a month of many rows is split again by size.
+    warehouse.append("fact_incidents", numbered.hint("rebalance", "date_month"))
 
 
 # The columns of each star projection, by dimension.
@@ -221,20 +225,50 @@ def star_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
     return {name: warehouse.read(name) for name in ["fact_incidents", *DIMENSION_KEYS]}
 
 
-def marts(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The three marts and the model view."""
-    facts, severities = tables["fact_incidents"], tables["dim_severity"]
+# Facts added up by month and foreign keys: what a refresh keeps of months that did not change.
+MONTH_SUMS = {"sum_hourly": aggregates.hourly_sums, "sum_weather_road": aggregates.weather_road_sums,
+              "sum_hotspots": aggregates.hotspot_sums}
+
+
+def marts(tables: Mapping[str, DataFrame], sums: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The three marts, from the sums by month."""
+    severities = tables["dim_severity"]
     return {
-        "agg_hourly_severity_mart": aggregates.hourly_severity_mart(facts, tables["dim_date"], severities),
-        "agg_weather_road_risk_mart": aggregates.weather_road_mart(
-            facts, tables["dim_weather"], tables["dim_road"], severities),
-        "agg_location_hotspots_mart": aggregates.hotspot_mart(facts, tables["dim_location"], severities),
+        "agg_hourly_severity_mart": aggregates.hourly_severity_mart_of(sums["sum_hourly"], tables["dim_date"], severities),
+        "agg_weather_road_risk_mart": aggregates.weather_road_mart_of(
+            sums["sum_weather_road"], tables["dim_weather"], tables["dim_road"], severities),
+        "agg_location_hotspots_mart": aggregates.hotspot_mart_of(sums["sum_hotspots"], tables["dim_location"], severities),
     }
 
 
+def stale_months(facts: DataFrame, sums: DataFrame | None) -> list[int | None]:
+    """Months whose facts are more than their sums hold. Facts are only ever added, so the numbers tell; they come
+    from the partitions of the files, and a calendar has few months."""
+    held = facts.groupBy("date_month").agg(F.count("*").alias("n"))
+    if sums is not None:
+        done = sums.groupBy("date_month").agg(F.sum("records").alias("n"))
+        held = held.join(F.broadcast(done), null_safe_match(held, done, ["date_month", "n"]), "left_anti")
+    return [row["date_month"] for row in held.select("date_month").collect()]
+
+
 def refresh_marts(warehouse: Warehouse) -> None:
+    """Adds up the facts of the months that changed, then rebuilds the marts from the sums of all months."""
     tables = star_tables(warehouse)
-    side_by_side(*[partial(warehouse.save_mart, name, mart) for name, mart in marts(tables).items()])
+    facts = tables["fact_incidents"]
+    # The least sum is written last: it says which months the others hold.
+    known = warehouse.read_mart("sum_hourly") if warehouse.has_mart("sum_hourly") else None
+    months = stale_months(facts, known)
+    if months:
+        named = [m for m in months if m is not None]
+        changed = F.col("date_month").isin(named) | (F.col("date_month").isNull() if None in months else F.lit(False))
+        first, *others = MONTH_SUMS.items()
+        side_by_side(*[partial(warehouse.replace_months, name, add(facts.where(changed), ["date_month"])) for name, add in others])
+        warehouse.replace_months(first[0], first[1](facts.where(changed), ["date_month"]))
+    if warehouse.has_mart("sum_hourly"):
+        sums = {name: warehouse.read_mart(name) for name in MONTH_SUMS}
+    else:
+        sums = {name: add(facts) for name, add in MONTH_SUMS.items()}
+    side_by_side(*[partial(warehouse.save_mart, name, mart) for name, mart in marts(tables, sums).items()])
     star(tables, VIEW_COLUMNS).createOrReplaceTempView("v_model_training_dataset")
 
 

@@ -108,7 +108,7 @@ DIM_SEVERITY = _layout(
 FACT_INCIDENTS = _layout(
     ("accident_key", L), ("accident_index", S), ("date_key", I), ("location_key", L),
     ("road_key", L), ("weather_key", L), ("severity_key", I), ("number_of_vehicles", I),
-    ("number_of_casualties", I), ("created_at", TS),
+    ("number_of_casualties", I), ("created_at", TS), ("date_month", I),
 )
 
 EXPERIMENT_RUNS = _layout(
@@ -146,6 +146,7 @@ TABLES = {
 }
 
 PARTITIONED_BY = {
+    "fact_incidents": ["date_month"],
     "stg_incidents": ["batch_id"],
     "stg_weather": ["batch_id"],
     "quarantine": ["batch_id"],
