@@ -11,7 +11,7 @@ import xxhash
 
 WORDS = 5
 #: Text bytes worked on at a time; a longer text is worked on alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # Odd multipliers for the places of a shingle; any fixed odd numbers do.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
                   dtype=np.uint64)
@@ -30,6 +30,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(start + 1, int(np.searchsorted(sizes, base + limit, side="right")))
             yield batch if stop - start == batch.num_rows else batch.take(pa.array(np.arange(start, stop)))
             start = stop
+        pa.default_memory_pool().release_unused()  # a worker that waits holds no more than it needs
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
