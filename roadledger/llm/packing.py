@@ -33,6 +33,8 @@ END_ID = 1
 GROUP_BYTES = 4 << 20
 #: Chunks a Python worker remembers anew before it forgets those it has not met since the last time.
 REMEMBERED = 200_000
+#: Text bytes tokenised at a time.
+SLICE_BYTES = 3 << 20
 #: Words of Latin letters that are tokenised as one text.
 JOINED = 256
 LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
@@ -160,7 +162,7 @@ def _tokenised(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = _tokenizer(path).kind
         end = np.array([end_id], kind).tobytes()
-        for part in slices(batches, "text", 8 << 20):
+        for part in slices(batches, "text", SLICE_BYTES):
             ids = [i.tobytes() + end for i in token_ids(part.column("text"), path)]
             yield pa.RecordBatch.from_arrays([part.column(c) for c in ("id", FILE, ROW, "group")] + [pa.array(ids, pa.binary())],
                                              names=["id", FILE, ROW, "group", "ids"])
