@@ -37,6 +37,8 @@ BANDS, BAND_ROWS, BITS = 51, 5, 256
 SEED = 20240601
 #: Least agreement of two 256-bit signatures for a pair to be confirmed on its sets.
 AGREEMENT = 192
+#: Rows with whole texts that are sent to Python at a time.
+TEXT_ROWS = 1000
 #: Members of a bucket that one row of the second pass holds on either side, and rows sent to Python at a time there
 #: and where pairs are held with both their sets.
 CHUNK, BATCH_ROWS = 128, 250
@@ -172,14 +174,20 @@ def _members(lists: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     return offsets, {flat.type.field(k).name: flat.field(k).to_numpy(zero_copy_only=False) for k in range(flat.type.num_fields)}
 
 
+def _stored_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Full sets of the texts in ``wanted`` (uid and address)."""
+    with settings(texts.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=str(TEXT_ROWS)):
+        return written(narrow_join(texts, wanted, ADDRESS, "inner").select("uid", "text")
+                       .mapInArrow(_sets, "uid bigint, shingles binary"), "sets")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame:
     """The written links among ``pairs`` (a, b: bigint)."""
     spark = pairs.sparkSession
     places = sketches.select("uid", *ADDRESS)
     nodes = pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))).distinct()
     wanted = written(places.join(nodes, "uid"), "wanted")
-    sets = written(narrow_join(texts, wanted, ADDRESS, "inner").select("uid", "text")
-                   .mapInArrow(_sets, "uid bigint, shingles binary"), "sets")
+    sets = _stored_sets(texts, wanted)
     both = (pairs.join(sets.select(F.col("uid").alias("b"), F.col("shingles").alias("y")), "b")
             .join(sets.select(F.col("uid").alias("a"), F.col("shingles").alias("x")), "a").select("a", "b", "x", "y"))
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
@@ -225,8 +233,7 @@ def _second_pass(members: DataFrame, groups: DataFrame, texts: DataFrame, sketch
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
         partners = written(_chunk_pairs(placed, member, CHUNK).mapInArrow(_partners, "uid bigint").distinct(), "partners")
     wanted = written(sketches.select("uid", *ADDRESS).join(partners, "uid"), "wanted")
-    sets = written(narrow_join(texts, wanted, ADDRESS, "inner").select("uid", "text")
-                   .mapInArrow(_sets, "uid bigint, shingles binary"), "sets")
+    sets = _stored_sets(texts, wanted)
     # Buckets of texts with plausible pairs meet again, now with their sets.
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(SET_ROWS)):
         links = written(_chunk_pairs(placed.join(sets, "uid"), [*member, "shingles"], SET_CHUNK)
@@ -243,12 +250,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     rows = addressed(docs, "documents")
     texts = rows.select(FILE, ROW, rows[id_col].cast("bigint").alias("id"), rows[text_col].cast("string").alias("text"))
-    sketches = written(texts.mapInArrow(_sketch, _SKETCHED).withColumn("uid", F.monotonically_increasing_id()), "sketches")
-    classes = sketches.where("n > 0").groupBy("same").agg(F.min("uid").alias("node"), F.count("*").alias("copies")).where("copies > 1")
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(TEXT_ROWS)):
+        sketches = written(texts.mapInArrow(_sketch, _SKETCHED).withColumn("uid", F.monotonically_increasing_id()), "sketches")
+    # What a key has is stored before it is joined back: only then can AQE split a key with very many rows.
+    classes = written(sketches.where("n > 0").groupBy("same").agg(F.min("uid").alias("node"), F.count("*").alias("copies"))
+                      .where("copies > 1"), "classes")
     copies = written(sketches.select("uid", "same").join(classes, "same").where("uid <> node").select("uid", "node"), "copies")
     bands = narrow_join(sketches.select("uid", "bands"), copies, ["uid"], "left_anti").select(
         "uid", F.explode("bands").alias("band"))
-    heads = bands.groupBy("band").agg(F.min("uid").alias("head"), F.count("*").alias("size")).where("size > 1")
+    heads = written(bands.groupBy("band").agg(F.min("uid").alias("head"), F.count("*").alias("size")).where("size > 1"), "heads")
     members = written(bands.join(heads, "band"), "members")
     pairs = members.where("uid <> head").select(F.col("head").alias("a"), F.col("uid").alias("b")).distinct()
     pairs = written(_plausible(pairs, sketches), "pairs")
@@ -256,13 +266,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = written(components(links), "groups")
     across = _second_pass(members, groups, texts, sketches)
     groups = written(components(links.unionByName(across)), "groups")
-    dropped(spark, members, pairs)
+    dropped(spark, classes, heads, members, pairs)
     placed = (sketches.select("uid", "id", "n", *ADDRESS).join(copies, "uid", "left")
               .withColumn("node", F.coalesce("node", "uid")).join(groups, "node", "left"))
     placed = written(placed.select("id", "n", *ADDRESS, F.coalesce("component", "node").alias("root")), "placed")
     best = F.min(F.struct(F.col("id").isNull().alias("noid"), F.col("id").alias("least"), F.col(FILE).alias("file"),
                           F.col(ROW).alias("row"))).alias("best")
-    out = placed.join(placed.groupBy("root").agg(best), "root")
+    out = placed.join(written(placed.groupBy("root").agg(best), "best"), "root")
     return out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("best.least").alias("component_id"),
         F.col("id").eqNullSafe(F.col("best.least")).alias("kept"),
