@@ -267,9 +267,10 @@ def repeated_spans(docs: DataFrame, texts: DataFrame, window: int, anchor: int,
     spark = docs.sparkSession
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
         runs = written(texts.mapInArrow(_anchored(window, anchor), _RUNS), "anchors")
-    often = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    candidates = written(runs.join(often, "anchor"), "anchor-runs")
-    dropped(spark, runs)
+    # Counts are stored before they are joined: only then can AQE split an anchor that very many runs share.
+    often = written(runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "often")
+    candidates = written(narrow_join(runs, often, ["anchor"], "inner"), "anchor-runs")
+    dropped(spark, runs, often)
     with_runs = _with_lists(texts, candidates, ["start", "shape", "anchor"], "runs")
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
         contexts = written(with_runs.mapInArrow(_contexts(window, False), _RUNS + ", same binary"), "contexts")
