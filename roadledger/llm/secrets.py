@@ -4,7 +4,7 @@ Three kinds are looked for in a whole text: ``assign`` (a key word, ``:`` or ``=
 ``access`` (``AKIA`` keys of 16 or more) and ``hex`` (runs of 32 or more), each leftmost and non-overlapping. Then a
 worklist unwraps layers until nothing new comes: percent escapes and ``\\u``/``\\x``/character-reference escapes (the
 whole layer decoded in place), base64 runs in either alphabet, and zlib or gzip data inside them. Every layer is
-scanned again; a digest of each layer seen stops cycles. What is found in a layer is mapped back through all layers to
+scanned again, text or not (bytes are read one character each, as all that is looked for is ASCII); a digest of each layer seen stops cycles. What is found in a layer is mapped back through all layers to
 code points of the original text: in-place escapes map character by character, base64 by its groups of four, compressed
 data to the whole run.
 
@@ -41,11 +41,14 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
-#: Shorter runs are words; every run is held to decode to text or to compressed data.
+#: Shorter runs are words; every run is decoded and scanned, whatever its bytes are.
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}", re.A)
 # Prefilters over an Arrow column; a text that none of them hits has no layers and no spans.
 HINTS = {"assign": r"(?i)passw|secret|token|api_?key", "access": "AKIA", "hex": "[0-9a-f]{32}",
          "percent": "%[0-9A-Fa-f]{2}", "escape": r"\\[uUx][0-9A-Fa-f]{2}|&#[0-9xX]", "base64": "[A-Za-z0-9+/_-]{16}"}
+# The same over decoded bytes. All that is looked for is ASCII, so bytes of any kind are read one character each.
+ANY = re.compile("|".join(pattern.removeprefix("(?i)").join(("(?i:", ")") if pattern.startswith("(?i)") else ("(?:", ")"))
+                          for pattern in HINTS.values()).encode())
 ROOM, GROWTH = 64 << 20, 1100
 
 
@@ -87,6 +90,17 @@ class Layer:
         return self.parent.source(left, right)
 
 
+class Decoded(Layer):
+    """The bytes of a base64 run, one character each; their places go by groups of four of the run."""
+
+    def __init__(self, data: bytes, parent: Layer, start: int, stop: int):
+        super().__init__(data.decode("latin-1"), parent, [])
+        self.start, self.stop = start, stop
+
+    def source(self, start: int, end: int) -> tuple[int, int]:
+        return self.parent.source(self.start + start // 3 * 4, min(self.stop, self.start + -(-end // 3) * 4))
+
+
 def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     """The layer with every match that decodes written out; None where none does."""
     parts, cuts, at, size, changed = [], [], 0, 0, False
@@ -140,17 +154,8 @@ def _unpacked(data: bytes, room: int) -> bytes | None:
     return out if out else None
 
 
-def _written(data: bytes) -> str | None:
-    """The text of some bytes, if all of it is text."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
-
-
 def _base64(layer: Layer, room: list[int]) -> Iterator[Layer | tuple[int, int]]:
-    """A layer for every base64 run that holds text, straight or compressed; a span for one that grows too large."""
+    """Layers for what base64 runs hold, straight and unpacked; a span for one that grows too large."""
     for match in BASE64.finditer(layer.text):
         run = match[0].rstrip("=").translate({45: 43, 95: 47})
         if len(run) % 4 == 1:
@@ -159,25 +164,15 @@ def _base64(layer: Layer, room: list[int]) -> Iterator[Layer | tuple[int, int]]:
             data = base64.b64decode(run + "=" * (-len(run) % 4))
         except binascii.Error:
             continue
-        text, whole = _written(data), False
+        if ANY.search(data):
+            yield Decoded(data, layer, match.start(), match.end())
         try:
-            while text is None and (data := _unpacked(data, room[0])) is not None:
+            while (data := _unpacked(data, room[0])) is not None:
                 room[0] -= len(data)
-                text, whole = _written(data), True
+                if ANY.search(data):
+                    yield Layer(data.decode("latin-1"), layer, [(0, match.start(), match.end(), 0)])
         except MemoryError:
             yield match.span()
-            continue
-        if text is None:
-            continue
-        if whole:
-            yield Layer(text, layer, [(0, match.start(), match.end(), 0)])
-        else:
-            cuts, at = [], 0
-            for k, char in enumerate(text):
-                end = at + len(char.encode())
-                cuts.append((k, match.start() + at // 3 * 4, min(match.end(), match.start() + -(-end // 3) * 4), 0))
-                at = end
-            yield Layer(text, layer, cuts)
 
 
 def all_spans(text: str, kinds=("assign", "access", "hex"), layers=("percent", "escape", "base64")) -> tuple[list, list]:

@@ -56,6 +56,19 @@ def test_layers_map_back():
     assert any(k == "assign" and s >= 4 and e <= 4 + len(nested) for s, e, k in spans) and not base
 
 
+def test_layers_of_any_bytes():
+    """A decoded layer is scanned whatever else it holds."""
+    for before in ("prix\xa0: 5\u202f000 ", "\ufeff", "soft\xadhyphen ", "\U0001f469\u200d\U0001f4bb ", "\u3000", "\f", "\x1b[31m", "a\0b "):
+        for data in ((before + PLAIN).encode(), gzip.compress((before + PLAIN).encode())):
+            run = b64(data)
+            assert any(k == "assign" and s >= 4 and e <= 4 + len(run) for s, e, k in all_spans("see " + run)[1]), before
+    blob = bytes(range(128, 256)) + b" AKIAABCDEFGHIJKL " + bytes(range(256))
+    run = b64(blob)
+    assert all_spans("- " + run)[1] == [(2 + 129 // 3 * 4, 2 + -(-145 // 3) * 4, "access")]
+    inner = b64(b"\xff\xfe" + PLAIN.encode())
+    assert any(k == "assign" for _, _, k in all_spans("x " + b64(b"\x00\xff " + inner.encode() + b"\x80"))[1])
+
+
 def test_layers_end():
     assert all_spans("%25" * 50) == ([], [])
     assert all_spans("") == ([], [])
