@@ -3,10 +3,10 @@
 Three kinds are looked for in a whole text: ``assign`` (a key word, ``:`` or ``=``, and a value of 8 or more),
 ``access`` (``AKIA`` keys of 16 or more) and ``hex`` (runs of 32 or more), each leftmost and non-overlapping. Then a
 worklist unwraps layers until nothing new comes: percent escapes and ``\\u``/``\\x``/character-reference escapes (the
-whole layer decoded in place), base64 runs in either alphabet, and zlib or gzip data inside them. Every layer is
-scanned again, text or not (bytes are read one character each, as all that is looked for is ASCII); a digest of each layer seen stops cycles. What is found in a layer is mapped back through all layers to
+whole layer decoded in place), base64 runs in either alphabet (also across line breaks, and from every
+place after a ``+``, ``/``, ``-`` or ``_``), and zlib or gzip members inside them. Every layer is scanned again, text or not (bytes are read one character each, as all that is looked for is ASCII); a digest of each layer seen stops cycles. What is found in a layer is mapped back through all layers to
 code points of the original text: in-place escapes map character by character, base64 by its groups of four, compressed
-data to the whole run.
+data to the whole run from its start on.
 
 Defined results: null text is empty and has no spans; equal spans of a kind count once; spans of the text itself always
 stay; repeated rows give repeated results; a null id stays null; an empty table gives no rows; other columns are
@@ -17,7 +17,6 @@ beyond is reported as a span of kind ``unread`` instead of being dropped.
 from __future__ import annotations
 
 import base64
-import binascii
 import re
 import zlib
 from bisect import bisect_right
@@ -42,10 +41,19 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 #: Shorter runs are words; every run is decoded and scanned, whatever its bytes are.
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}", re.A)
+LEAST_RUN = 16
+BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+={0,2}" % LEAST_RUN, re.A)
+#: Runs parted by nothing but a line break and indentation are read as one as well.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t]*+(?:\r\n?+|\n)[\x20\t]*+[A-Za-z0-9+/_-]++)++"
+                     r"(?:(?:[\x20\t]*+(?:\r\n?+|\n)[\x20\t]*+)?=){0,2}", re.A)
+LINE = re.compile(r"[A-Za-z0-9+/_=-]+", re.A)
+#: A payload can begin after any of these; in text, the four places of a start modulo 4 show all of them.
+SEPARATOR = re.compile(r"[+/_-]")
+#: How base64 of a gzip or zlib head begins.
+PACKED = re.compile("H4sI|e[A-P]")
 # Prefilters over an Arrow column; a text that none of them hits has no layers and no spans.
 HINTS = {"assign": r"(?i)passw|secret|token|api_?key", "access": "AKIA", "hex": "[0-9a-f]{32}",
-         "percent": "%[0-9A-Fa-f]{2}", "escape": r"\\[uUx][0-9A-Fa-f]{2}|&#[0-9xX]", "base64": "[A-Za-z0-9+/_-]{16}"}
+         "percent": "%[0-9A-Fa-f]{2}", "escape": r"\\[uUx][0-9A-Fa-f]{2}|&#[0-9xX]", "base64": r"(?:[A-Za-z0-9+/_-](?:[\x20\t]*(?:\r\n?|\n)[\x20\t]*)?){%d}" % LEAST_RUN}
 # The same over decoded bytes. All that is looked for is ASCII, so bytes of any kind are read one character each.
 ANY = re.compile("|".join(pattern.removeprefix("(?i)").join(("(?i:", ")") if pattern.startswith("(?i)") else ("(?:", ")"))
                           for pattern in HINTS.values()).encode())
@@ -90,15 +98,49 @@ class Layer:
         return self.parent.source(left, right)
 
 
+class Run:
+    """A base64 run: its characters without line breaks, and for every line its first character and place in the text."""
+
+    def __init__(self, chars: str, lines: list[tuple[int, int]]):
+        self.chars, self.lines = chars, lines
+        self.firsts = [first for first, _ in lines]
+        self.digits = chars.rstrip("=").translate({45: 43, 95: 47})
+
+    def source(self, start: int, end: int) -> tuple[int, int]:
+        """Span of the text that holds characters start to end (end exclusive)."""
+        left, right = (self.lines[bisect_right(self.firsts, at) - 1] for at in (start, min(end, len(self.chars)) - 1))
+        return left[1] + start - left[0], right[1] + min(end, len(self.chars)) - right[0]
+
+    def data(self, start: int, most: int | None = None) -> bytes:
+        """The bytes of the characters (at most so many) from a place on; an odd last one holds none."""
+        size = min(len(self.digits) - start, most or len(self.digits))
+        size -= size % 4 == 1
+        return base64.b64decode(self.digits[start:start + size] + "=" * (-size % 4))
+
+
+def _runs(text: str) -> Iterator[Run]:
+    for match in BASE64.finditer(text):
+        yield Run(match[0], [(0, match.start())])
+    for match in WRAPPED.finditer(text):
+        lines, parts, size = [], [], 0
+        for line in LINE.finditer(text, match.start(), match.end()):
+            lines.append((size, line.start()))
+            parts.append(line[0])
+            size += len(line[0])
+        run = Run("".join(parts), lines)
+        if len(run.digits) >= LEAST_RUN:
+            yield run
+
+
 class Decoded(Layer):
-    """The bytes of a base64 run, one character each; their places go by groups of four of the run."""
+    """The bytes of a base64 run from a place on, one character each; their places go by groups of four of the run."""
 
-    def __init__(self, data: bytes, parent: Layer, start: int, stop: int):
+    def __init__(self, data: bytes, parent: Layer, run: Run, first: int):
         super().__init__(data.decode("latin-1"), parent, [])
-        self.start, self.stop = start, stop
+        self.run, self.first = run, first
 
     def source(self, start: int, end: int) -> tuple[int, int]:
-        return self.parent.source(self.start + start // 3 * 4, min(self.stop, self.start + -(-end // 3) * 4))
+        return self.parent.source(*self.run.source(self.first + start // 3 * 4, self.first + -(-end // 3) * 4))
 
 
 def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
@@ -140,39 +182,70 @@ def _escape(match: re.Match) -> list[tuple[str, int, int]] | None:
     return None if code > 0x10FFFF or 0xD800 <= code < 0xE000 else [(chr(code), 0, len(match[0]))]
 
 
-def _unpacked(data: bytes, room: int) -> bytes | None:
-    """Data out of zlib or gzip; None if it isn't that. MemoryError if it grows beyond the room."""
-    if not (data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 5 and (data[0] << 8 | data[1]) % 31 == 0):
-        return None
-    try:
-        tool = zlib.decompressobj(47)
-        out = tool.decompress(data, room + 1)
-    except zlib.error:
-        return None
-    if len(out) > room:
-        raise MemoryError
-    return out if out else None
+def _member(data: bytes, room: int) -> tuple[bytes, bytes]:
+    """What a zlib or gzip stream holds, as far as it can be read, and the data after it."""
+    tool, out, step = zlib.decompressobj(47), bytearray(), 4096
+    for at in range(0, len(data), step):
+        before = tool.copy()
+        try:
+            out += tool.decompress(data[at:at + step], room + 1 - len(out))
+        except zlib.error:
+            try:
+                for k in range(at, at + step):  # up to the fault
+                    out += before.decompress(data[k:k + 1], room + 1 - len(out))
+                    if len(out) > room:
+                        break
+            except zlib.error:
+                pass
+            if len(out) > room:
+                raise MemoryError
+            return bytes(out), b""
+        if len(out) > room:
+            raise MemoryError
+        if tool.eof:
+            return bytes(out), tool.unused_data + data[at + step:]
+    return bytes(out), b""
+
+
+def _headed(data: bytes) -> bool:
+    """True for bytes that begin like a gzip or zlib member."""
+    return data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 5 and (data[0] << 8 | data[1]) % 31 == 0
+
+
+def _unpacked(data: bytes, room: int) -> tuple[bytes, int] | None:
+    """Data out of the zlib or gzip members that some bytes begin with, and how many bytes those are; None if there are
+    none. MemoryError if it grows beyond the room."""
+    parts, rest = [], data
+    while _headed(rest):
+        part, left = _member(rest, room)
+        room -= len(part)
+        parts.append(part)
+        rest = left.lstrip(b"\0")  # padding
+    out = b"".join(parts)
+    return (out, len(data) - len(rest)) if out else None
 
 
 def _base64(layer: Layer, room: list[int]) -> Iterator[Layer | tuple[int, int]]:
     """Layers for what base64 runs hold, straight and unpacked; a span for one that grows too large."""
-    for match in BASE64.finditer(layer.text):
-        run = match[0].rstrip("=").translate({45: 43, 95: 47})
-        if len(run) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4))
-        except binascii.Error:
-            continue
-        if ANY.search(data):
-            yield Decoded(data, layer, match.start(), match.end())
-        try:
-            while (data := _unpacked(data, room[0])) is not None:
-                room[0] -= len(data)
-                if ANY.search(data):
-                    yield Layer(data.decode("latin-1"), layer, [(0, match.start(), match.end(), 0)])
-        except MemoryError:
-            yield match.span()
+    for run in _runs(layer.text):
+        starts = sorted({0, *run.firsts, *(m.end() for m in SEPARATOR.finditer(run.chars))})
+        for start in {start % 4: start for start in reversed(starts)}.values():
+            data = run.data(start)
+            if ANY.search(data):
+                yield Decoded(data, layer, run, start)
+        for start in starts:
+            if not PACKED.match(run.digits, start) or not _headed(run.data(start, 8)):
+                continue
+            data, span = run.data(start), None
+            try:
+                while (unpacked := _unpacked(data, room[0])) is not None:
+                    data, size = unpacked
+                    span = span or run.source(start, start + -(-size // 3) * 4)
+                    room[0] -= len(data)
+                    if ANY.search(data):
+                        yield Layer(data.decode("latin-1"), layer, [(0, *span, 0)])
+            except MemoryError:
+                yield span or run.source(start, len(run.chars))
 
 
 def all_spans(text: str, kinds=("assign", "access", "hex"), layers=("percent", "escape", "base64")) -> tuple[list, list]:

@@ -69,6 +69,43 @@ def test_layers_of_any_bytes():
     assert any(k == "assign" for _, _, k in all_spans("x " + b64(b"\x00\xff " + inner.encode() + b"\x80"))[1])
 
 
+def wrapped(run, columns, between="\n"):
+    return between.join(run[i:i + columns] for i in range(0, len(run), columns))
+
+
+def test_wrapped_layers():
+    long = "".join(hashlib.md5(str(i).encode()).hexdigest()[:20] + ". " for i in range(100))
+    for columns in (7, 64, 76):
+        for between in ("\n", "\r\n", "\n    "):
+            for size in range(40, 48):  # across a break
+                run = wrapped(b64(("." * size + " " + PLAIN + " ..")), columns, between)
+                at = lambda k: k // columns * (columns + len(between)) + k % columns
+                want = (2 + at((size + 1) // 3 * 4), 2 + at(-(-(size + 1 + len(PLAIN)) // 3) * 4 - 1) + 1, "assign")
+                assert want in all_spans("- " + run + " end")[1]
+            for pack in (zlib.compress, gzip.compress):
+                run = wrapped(b64(pack((long + PLAIN).encode())), columns, between)
+                for text in (f"data:\n{run}\n\nend", f"data:\n{run}\nEnd of it", f"a-heading-of-its-own\n{run}\n"):
+                    at = text.index(run)
+                    assert any(k == "assign" and s == at and e >= at + len(run.rstrip("=")) for s, e, k in all_spans(text)[1])
+
+
+def test_members():
+    first, second = (gzip.compress(t.encode()) for t in ("nothing here", PLAIN))
+    for data in (first + second, first + bytes(9) + second, zlib.compress(b"x") + second, gzip.compress(first + second),
+                 second + b"something else", second[:-8] + b"12345678"):
+        run = b64(data)
+        assert any(k == "assign" and s >= 2 and e <= 2 + len(run) for s, e, k in all_spans("- " + run)[1])
+
+
+def test_payloads_after_separators():
+    for payload in (b64(PLAIN), b64(PLAIN, True), b64(gzip.compress(PLAIN.encode())), b64(zlib.compress(PLAIN.encode()), True)):
+        for before in ("a/", "/ab/", "path/of/a-file/", "k_", "x+", "id-"):
+            for after in ("", "/", "-x", "/abcd"):
+                run = payload.rstrip("=") + after
+                assert any(k == "assign" and s == 2 + len(before) for s, e, k in all_spans("- " + before + run)[1])
+    assert all_spans("/usr/local/share/some-long-path/with_parts+more")[1] == []
+
+
 def test_layers_end():
     assert all_spans("%25" * 50) == ([], [])
     assert all_spans("") == ([], [])
