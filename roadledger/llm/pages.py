@@ -9,6 +9,10 @@ from dataclasses import dataclass
 # Element names with a meaning of their own.
 SILENT = {"script", "style", "noscript", "template", "svg", "head", "title", "textarea", "select", "option", "iframe",
           "object", "canvas", "math"}
+#: What can stand in a head; any other start tag, and text, ends an open one.
+HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title", "head"}
+#: In these a closing slash ends an element, as in XML.
+FOREIGN = {"svg", "math"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
           "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
@@ -28,6 +32,8 @@ MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<![^<>]*+>|<\?[^<>]*+>|<(/?)([a-zA-Z][^\
                     r"((?:[^<>\"']++|" + _QUOTED + r"|[\"'])*+)>", re.S)
 CUT_OFF = re.compile(r"<[/!a-zA-Z][^<>]*+\Z")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+#: Attributes that end with an unquoted value; a slash at its end belongs to it.
+UNQUOTED = re.compile(r"=\s*[^\s\"'=]*/\Z")
 SPACE = re.compile(r"\s+")
 
 
@@ -48,7 +54,7 @@ def blocks(page: str | None) -> list[Block]:
     found: list[Block] = []
     stack: list[tuple[str, str]] = []
     parts: list[str] = []
-    linked = silent = at = 0
+    linked = silent = foreign = at = 0
     page = page or ""
 
     def flush() -> None:
@@ -63,6 +69,8 @@ def blocks(page: str | None) -> list[Block]:
 
     def take(raw: str) -> None:
         nonlocal linked
+        if stack and stack[-1][0] == "head" and raw.strip():
+            close(len(stack) - 1)
         if raw and not silent:
             parts.append(raw)
             if any(name == "a" for name, _ in stack):
@@ -70,12 +78,19 @@ def blocks(page: str | None) -> list[Block]:
 
     def close(to: int) -> None:
         """Ends all elements from place ``to`` of the stack."""
-        nonlocal silent
+        nonlocal silent, foreign
         if any(name not in INLINE for name, _ in stack[to:]):
             flush()
         silent -= sum(name in SILENT for name, _ in stack[to:])
+        foreign -= sum(name in FOREIGN for name, _ in stack[to:])
         del stack[to:]
 
+    def end_head(name: str) -> None:
+        """Ends an open head, unless the tag is inside a silent element of it; ``body`` ends it in any case."""
+        place = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == "head"), None)
+        if place is not None and (name == "body" or not any(n in SILENT for n, _ in stack[place + 1:])):
+            close(place)
+
     match = MARKUP.search(page)
     while match:
         take(page[at:match.start()])
@@ -88,6 +103,8 @@ def blocks(page: str | None) -> list[Block]:
             elif name == "p" or name not in INLINE:
                 flush()
         elif name:
+            if silent and name not in HEAD:
+                end_head(name)
             for starts, ended, walls in ENDS:
                 if name in starts:
                     for k in range(len(stack) - 1, -1, -1):
@@ -100,12 +117,15 @@ def blocks(page: str | None) -> list[Block]:
                 flush()
             elif name == "br":
                 take(" ")
-            if name in ("script", "style", "textarea", "title"):
+            if (foreign or name in FOREIGN) and match[3].endswith("/") and not UNQUOTED.search(match[3]):
+                pass
+            elif name in ("script", "style", "textarea", "title"):
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
-            elif name not in VOID:  # as in browsers, a closing slash changes nothing
+            elif name not in VOID:  # as in browsers, a closing slash changes nothing elsewhere
                 stack.append((name, name + _marks(match[3])))
                 silent += name in SILENT
+                foreign += name in FOREIGN
         match = MARKUP.search(page, at)
     take(CUT_OFF.sub("", page[at:]))  # a page can end inside a tag
     flush()

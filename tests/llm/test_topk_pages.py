@@ -91,6 +91,20 @@ def test_blocks():
     assert len(blocks("<a \"" * 20000)) <= 1 and blocks("<div>" * 3000 + "x")[0].text == "x"
 
 
+def test_blocks_without_end_tags():
+    top = "<!DOCTYPE html><html><head><meta charset=utf-8><title>no</title><link rel=x><style>p > a {}</style>"
+    for start, path in (("<body class=x>", ("html", "body.x", "p")), ("", ("html", "p")), ("</head><body>", ("html", "body", "p"))):
+        page = f"{top}{start}<p>one<p>two <b>three"
+        assert [b.text for b in blocks(page)] == ["one", "two three"] and blocks(page)[0].path == path
+    assert [b.text for b in blocks(f"{top} \n bare text <p>one")] == ["bare text", "one"]
+    assert [b.text for b in blocks(f"{top}<noscript><img src=x>no</noscript><template><p>no</template><div>one")] == ["one"]
+    assert [b.text for b in blocks("<body><p>one<head><title>no</title></head><p>two")] == ["one", "two"]
+    for icon in ("<svg/>", "<svg class='i' />", "<svg><path d='M0'/><title/><style/></svg>", "<svg><g><path/></svg>",
+                 "<svg width=10/>no</svg>"):
+        assert [b.text for b in blocks(f"<article><p>one</p>{icon}<p>two</article>")] == ["one", "two"], icon
+    assert [b.text for b in blocks("<p>one<div/>two</div><iframe/>no</iframe>three")] == ["one", "two", "three"]
+
+
 ARTICLE = "The quiet harbour kept its lights on through the winter, and nobody asked why."
 
 
