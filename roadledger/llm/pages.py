@@ -25,11 +25,12 @@ ENDS = [({"p", "div", "ul", "ol", "dl", "table", "h1", "h2", "h3", "h4", "h5", "
         ({"li"}, {"li"}, {"ul", "ol", "menu"}), ({"dt", "dd"}, {"dt", "dd"}, {"dl"}),
         ({"tr"}, {"tr", "td", "th"}, {"table"}), ({"td", "th"}, {"td", "th"}, {"tr", "table"})]
 
-# Attributes end at the first angle bracket outside quotes; a quoted value with brackets holds 2000 characters at most,
-# so that a page of open quotes takes no longer than any other.
-_QUOTED = r"""\"(?:[^\"<>]*+\"|[^\"]{0,2000}+\")|'(?:[^'<>]*+'|[^']{0,2000}+')"""
+# Attributes end at the first angle bracket outside quotes; as in browsers, a quote opens a value only after ``=``. Tags
+# whose quoted values hold no brackets are read by the pattern alone, others are carried on by ``_tag``.
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<![^<>]*+>|<\?[^<>]*+>|<(/?)([a-zA-Z][^\s/<>]*+)"
-                    r"((?:[^<>\"']++|" + _QUOTED + r"|[\"'])*+)>", re.S)
+                    r"((?:[^<>\"'=]++|=\s*+(?:\"[^\"<>]*+\"|'[^'<>]*+')|=(?!\s*[\"']))*+)(>)?", re.S)
+OUTSIDE = re.compile(r"[^<>\"'=]*+(?:=\s*+)?+")
+MARK = re.compile(r"\b(?:class|id|role)\s*=\s*\Z", re.I)
 CUT_OFF = re.compile(r"<[/!a-zA-Z][^<>]*+\Z")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 #: Attributes that end with an unquoted value; a slash at its end belongs to it.
@@ -49,6 +50,36 @@ def _marks(attributes: str) -> str:
     return "".join("." + n for n in names)
 
 
+def _tag(page: str, start: int, at: int, lasts: dict[str, int], dead: set[int]) -> tuple[str, int] | None:
+    """Attributes of a tag that is read up to ``at``, and the place after its ``>``; None if it is no tag.
+
+    Quoted values with brackets are left out of the attributes unless they hold marks. ``lasts`` has the last place of
+    each quote sign: a quote that nothing closes is a character like others. ``dead`` has the ends of quoted values from
+    which no tag is completed, so that no part of a page is read more often than twice.
+    """
+    parts, ends = [page[start:at]], []
+    while at not in dead:
+        ahead = OUTSIDE.match(page, at)
+        parts.append(ahead[0])
+        at = ahead.end()
+        sign = page[at:at + 1]
+        if sign == ">":
+            return "".join(parts), at + 1
+        if sign in ("", "<"):
+            break
+        if sign in lasts and "=" in ahead[0] and at < lasts[sign]:
+            close = page.index(sign, at + 1) + 1
+            value = page[at:close]
+            parts.append(value if "<" not in value and ">" not in value or MARK.search(parts[-2][-20:] + parts[-1]) else "''")
+            at = close
+            ends.append(at)
+        elif sign in lasts:
+            parts.append(sign)
+            at += 1
+    dead.update(ends)
+    return None
+
+
 def blocks(page: str | None) -> list[Block]:
     """Blocks with text, in page order. Elements left open end with their parents; stray closing tags are passed over."""
     found: list[Block] = []
@@ -91,11 +122,18 @@ def blocks(page: str | None) -> list[Block]:
         if place is not None and (name == "body" or not any(n in SILENT for n, _ in stack[place + 1:])):
             close(place)
 
+    lasts, dead = {sign: page.rfind(sign) for sign in "\"'"}, set()
     match = MARKUP.search(page)
     while match:
+        name, attributes, end = (match[2] or "").lower(), match[3], match.end()
+        if name and not match[4]:
+            tag = _tag(page, match.start(3), end, lasts, dead)
+            if tag is None:
+                match = MARKUP.search(page, match.start() + 1)
+                continue
+            attributes, end = tag
         take(page[at:match.start()])
-        at = match.end()
-        name = (match[2] or "").lower()
+        at = end
         if name and match[1]:
             place = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if place is not None and all(n in INLINE or name not in INLINE for n, _ in stack[place:]):
@@ -117,13 +155,13 @@ def blocks(page: str | None) -> list[Block]:
                 flush()
             elif name == "br":
                 take(" ")
-            if (foreign or name in FOREIGN) and match[3].endswith("/") and not UNQUOTED.search(match[3]):
+            if (foreign or name in FOREIGN) and attributes.endswith("/") and not UNQUOTED.search(attributes):
                 pass
             elif name in ("script", "style", "textarea", "title"):
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             elif name not in VOID:  # as in browsers, a closing slash changes nothing elsewhere
-                stack.append((name, name + _marks(match[3])))
+                stack.append((name, name + _marks(attributes)))
                 silent += name in SILENT
                 foreign += name in FOREIGN
         match = MARKUP.search(page, at)

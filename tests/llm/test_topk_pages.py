@@ -2,6 +2,7 @@
 
 import math
 import os
+import time
 
 import numpy as np
 import pytest
@@ -105,6 +106,21 @@ def test_blocks_without_end_tags():
     assert [b.text for b in blocks("<p>one<div/>two</div><iframe/>no</iframe>three")] == ["one", "two", "three"]
 
 
+def test_long_quoted_attributes():
+    for inner in ("<div class=ad><p>no</p></div>" * 500, "x > y " * 2000, "if (a > b && c < d) e();" * 400, "<" * 5000, "<b>"):
+        for sign, other in ("\"'", "'\""):
+            page = f"<div class=post data-x={sign}{inner}{other}{sign} id = {sign}main{sign}><p>one</p><a href=/ title={sign}{inner}{sign}>two</a></div><p>three"
+            assert [(b.path, b.text) for b in blocks(page)] == [
+                (("div.post.main", "p"), "one"), (("div.post.main",), "two"), (("p",), "three")], inner[:9]
+    assert blocks("<div class='[&>svg]:w-4 post'>one")[0].path == ("div.[&>svg]:w.4.post",)
+    assert [b.text for b in blocks("<p title=Bob's>it's <b x=\"1\"\">one</b> > two's")] == ["it's one > two's"]
+    assert [b.text for b in blocks("<a href=\"x>one</a><p>two")] == ["one", "two"]
+    for page in ("<a b='' b=", "<a b=\"", "<a b=\"<", "<a b='<a c=\"", "<a b='' c='<", "<a '", "<a =", "<a b=\"'\" c='\"' "):
+        started = time.perf_counter()
+        blocks(page * 40000)
+        assert time.perf_counter() - started < 8, page
+
+
 ARTICLE = "The quiet harbour kept its lights on through the winter, and nobody asked why."
 
 
