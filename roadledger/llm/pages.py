@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 # Element names with a meaning of their own.
 SILENT = {"script", "style", "noscript", "template", "svg", "head", "title", "textarea", "select", "option", "iframe",
-          "object", "canvas", "math"}
+          "object", "canvas", "annotation", "annotation-xml"}
 #: What can stand in a head; any other start tag, and text, ends an open one.
 HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title", "head"}
 #: In these a closing slash ends an element, as in XML.
@@ -16,7 +16,11 @@ FOREIGN = {"svg", "math"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
           "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
-          "var", "wbr", "img", "br", "input"}
+          "var", "wbr", "img", "br", "input",
+          # formulas are read where they stand; their annotations are not shown
+          "math", "maction", "menclose", "merror", "mfenced", "mfrac", "mglyph", "mi", "mlabeledtr", "mmultiscripts", "mn", "mo",
+          "mover", "mpadded", "mphantom", "mprescripts", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup",
+          "msup", "mtable", "mtd", "mtext", "mtr", "munder", "munderover", "none", "semantics", "annotation", "annotation-xml"}
 #: A tag of the first group ends an open one of the second, up to the nearest of the third.
 ENDS = [({"p", "div", "ul", "ol", "dl", "table", "h1", "h2", "h3", "h4", "h5", "h6", "article", "section", "nav", "aside",
           "header", "footer", "main", "form", "pre", "blockquote", "figure", "hr", "address", "fieldset", "details"},
@@ -110,7 +114,9 @@ def blocks(page: str | None) -> list[Block]:
     def close(to: int) -> None:
         """Ends all elements from place ``to`` of the stack."""
         nonlocal silent, foreign
-        if any(name not in INLINE for name, _ in stack[to:]):
+        # What is inside a silent element breaks no block around it.
+        shown = next((k for k, (name, _) in enumerate(stack) if name in SILENT), len(stack)) if silent else len(stack)
+        if any(name not in INLINE for name, _ in stack[to:shown + 1]):
             flush()
         silent -= sum(name in SILENT for name, _ in stack[to:])
         foreign -= sum(name in FOREIGN for name, _ in stack[to:])
@@ -136,7 +142,7 @@ def blocks(page: str | None) -> list[Block]:
         at = end
         if name and match[1]:
             place = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if place is not None and all(n in INLINE or name not in INLINE for n, _ in stack[place:]):
+            if place is not None and (name in SILENT or all(n in INLINE or name not in INLINE for n, _ in stack[place:])):
                 close(place)
             elif name == "p" or name not in INLINE:
                 flush()
@@ -151,7 +157,7 @@ def blocks(page: str | None) -> list[Block]:
                             break
                         if stack[k][0] in walls:
                             break
-            if name not in INLINE:
+            if name not in INLINE and not silent:
                 flush()
             elif name == "br":
                 take(" ")

@@ -121,6 +121,13 @@ def test_long_quoted_attributes():
         assert time.perf_counter() - started < 8, page
 
 
+def test_formulas():
+    formula = ("<math display=block><semantics><mrow><msup><mi>x</mi><mn>2</mn></msup><mo>=</mo><mspace width=1em /><mn>4</mn></mrow>"
+               "<annotation encoding=tex>no</annotation><annotation-xml><ci>no</ci></annotation-xml></semantics></math>")
+    found = blocks(f"<article><p>As {formula} holds, <b>so</b> does <math/>this.</p><p>two</article>")
+    assert [(b.path, b.text) for b in found] == [(("article", "p"), "As x2=4 holds, so does this."), (("article", "p"), "two")]
+
+
 ARTICLE = "The quiet harbour kept its lights on through the winter, and nobody asked why."
 
 
