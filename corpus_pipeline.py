@@ -1,20 +1,20 @@
 """Training-data pipeline over ``documents``: quality, exact copies, near copies, mixture, packed sequences.
 
-Each stage works on all rows its predecessor kept, read back from Parquet; the last returns packed pieces.
+Each stage works on all rows its predecessor kept, read back from Parquet; the last returns packed
+pieces with their token ids and a checksum of them.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadledger.llm.common import documents, dropped
+from roadledger.llm.common import ADDRESS, documents, dropped
 from roadledger.llm.exact_dedup import exact_dedup
 from roadledger.llm.mixing import mixed_sample
 from roadledger.llm.near_dedup import near_dedup
 from roadledger.llm.packing import pack
 from roadledger.llm.quality import accepted
-from roadledger.llm.queries import piece_digests
 from roadledger.session import written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -37,7 +37,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return piece_digests(pack(docs, TOKENIZER))
+    return pack(docs, TOKENIZER).withColumn("ids_crc32", F.crc32("ids")).drop(*ADDRESS)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact_copies), ("near_dedup", near_copies), ("mixing", mixing),

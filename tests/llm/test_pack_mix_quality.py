@@ -67,6 +67,20 @@ def test_pack(spark):
     assert pack(table(spark, []), PATH).count() == 0
 
 
+def test_the_pipeline_keeps_the_ids(spark):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    texts = [prose(i, 40) for i in range(20)]
+    rows = [(i, t) + (None,) * 6 for i, t in enumerate(texts)]
+    plain, got = Tokenizer.from_file(PATH), {}
+    for p in corpus_pipeline.packing(spark, table(spark, rows), "").orderBy("doc_id", "start").collect():
+        assert zlib.crc32(p.ids) == p.ids_crc32 and len(p.ids) == 4 * p.length
+        got.setdefault(p.doc_id, []).extend(np.frombuffer(p.ids, "<u4").tolist())
+    assert got == {i: plain.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+
+
 def test_mixing(spark):
     rows = awkward_rows()
     out = mixture(table(spark, rows), topic=F.lit(None)).collect()
