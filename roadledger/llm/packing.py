@@ -7,7 +7,7 @@ group is packed by one task. Only token ids are shuffled.
 
 Words are tokenised once per batch and looked up after that. This equals tokenising the whole text for tokenizers that
 lower the case, drop white space, never merge across it, part letters from stops, and mark the last token of a word
-(``word_bpe_49k.json`` is one): texts are lowered (A-Z), stops are set off from the letters before them, and what is
+(``word_bpe_49k.json`` is one): texts are lowered (A-Z), punctuation is set off from the letters before it, and what is
 then between spaces or line feeds is one chunk. New chunks of Latin letters alone are tokenised many at a time and
 told apart by the mark.
 
@@ -37,7 +37,11 @@ REMEMBERED = 200_000
 SLICE_BYTES = 3 << 20
 #: Words of Latin letters that are tokenised as one text.
 JOINED = 256
-LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: A letter before ASCII punctuation that cannot start a contraction or a special token; and the same for texts that may
+#: name special tokens, whose own letters and signs stay together.
+SET_OFF = r"([a-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}])([!-&(-/:;=-@\[-`{-~])"
+STOPS = "([a-z])([.,])"
 #: Sequence numbers of a group start at its number times this.
 GROUP_STEP = 1 << 32
 _KNOWN: dict[str, Words] = {}
@@ -102,8 +106,9 @@ def _tokenizer(path: str) -> Words:
 def _plain(texts: pa.Array) -> pa.Array:
     """Texts as chunks between single spaces; texts that may name special tokens keep their case."""
     special = pc.match_substring(texts, "<|")
-    texts = pc.if_else(special, texts, pc.ascii_lower(texts))
-    return pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), r"([a-z])([.,])", r"\1 \2")
+    texts = pc.replace_substring(pc.if_else(special, texts, pc.ascii_lower(texts)), "\n", " ")
+    parted = pc.replace_substring_regex(texts, SET_OFF, r"\1 \2")
+    return pc.if_else(special, pc.replace_substring_regex(texts, STOPS, r"\1 \2"), parted) if pc.any(special).as_py() else parted
 
 
 def token_ids(texts: pa.Array, path: str) -> list[np.ndarray]:
