@@ -3,8 +3,10 @@
 Tokens are summed by cell (one cell per combination of source, language and topic; combined before the shuffle).
 Raking goes over the margins in turn and scales the cells until each margin's shares meet its targets; the cell table
 stays a DataFrame and is written once a round. A document is then kept with its cell's probability: wanted tokens over
-tokens there, at most 1. The draw is a digest of the id, so it is the same in every run and at every cluster size.
-DataFrame functions only.
+tokens there. No cell can give more than it has: cells at probability 1 are held, and the free cells of a margin value
+are scaled to what is left of its goal. A target above all tokens of its value cannot be met by any sample; its goal is
+those tokens, and the other margins' goals are lowered to the same total (``margin_report`` says so). The draw is a
+digest of the id, so it is the same in every run and at every cluster size. DataFrame functions only.
 
 Defined results: a null margin value is a class of its own (the empty string); null text has no tokens; documents of a
 cell without tokens are kept with ``keep_share``; rows that share an id are kept or left together; an empty table
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadledger.llm.common import dropped, narrow_join, text_of
 from roadledger.session import written
@@ -41,64 +43,89 @@ def draw(ident: Column, seed: str = SEED) -> Column:
                   16, 10).cast("double") / F.lit(float(2**32))
 
 
-def _targets(cells: DataFrame, margin: str, target: float | dict[str, float]) -> DataFrame:
-    """(margin, goal) whose goals add up to 1."""
-    held = cells.groupBy(margin).agg(F.sum("weight").alias("held"))
-    if isinstance(target, dict):
-        named = [F.when(F.col(margin) == value, F.lit(float(goal))) for value, goal in target.items()]
-        held = held.withColumn("raw", F.coalesce(*named, F.lit(0.0)))
-    else:
-        held = held.withColumn("raw", F.pow("held", F.lit(float(target))))
-    total = held.agg(F.sum("raw").alias("all_raw"))
-    return held.join(F.broadcast(total)).select(margin, (F.col("raw") / F.col("all_raw")).alias("goal"))  # one row
-
-
-def _raked(cells: DataFrame, goals: DataFrame, margin: str) -> DataFrame:
-    """Cells scaled so that every value of ``margin`` has its goal."""
-    sums = cells.groupBy(margin).agg(F.sum("weight").alias("held")).join(goals, margin)
-    factor = sums.select(margin, F.when(F.col("held") > 0, F.col("goal") / F.col("held")).otherwise(0.0).alias("factor"))
-    return cells.join(factor, margin).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
+def _reachable(cells: DataFrame, targets: dict[str, float | dict[str, float]], keep_share: float) -> DataFrame:
+    """``cells`` with ``cap`` and a goal per margin value: the target's share of what is to be kept, at most all there is.
+
+    Shares are of all tokens. What unreachable targets leave over is taken from the goals of the other margins alike,
+    so all margins ask for the same total. A few numbers per margin reach the driver, whatever the size of the table.
+    """
+    cells = cells.withColumn("cap", F.col("weight") / F.lit(keep_share))
+    totals = {}
+    for margin, target in targets.items():
+        of_value = Window.partitionBy(margin)
+        held = F.sum("weight").over(of_value)
+        if isinstance(target, dict):
+            raw = F.coalesce(*[F.when(F.col(margin) == value, F.lit(float(goal))) for value, goal in target.items()], F.lit(0.0))
+        else:
+            raw = F.pow(held, F.lit(float(target)))
+        # A value's number is counted once: by its cells' equal parts of it.
+        cells = cells.withColumns({f"raw_{margin}": raw, f"part_{margin}": 1 / F.count("*").over(of_value),
+                                   f"most_{margin}": F.sum("cap").over(of_value)})
+    cells = written(cells, "cells")
+    sums = cells.agg(*[F.sum(F.col(f"raw_{m}") * F.col(f"part_{m}")).alias(m) for m in targets]).first()
+    goal = {m: F.least(F.col(f"raw_{m}") / F.lit(float(sums[m] or 1.0)), F.col(f"most_{m}")) for m in targets}
+    sums = cells.agg(*[F.sum(goal[m] * F.col(f"part_{m}")).alias(m) for m in targets]).first()
+    total = min((float(sums[m] or 0.0) for m in targets), default=0.0)
+    goals = {f"goal_{m}": goal[m] * F.lit(total / (float(sums[m] or 0.0) or 1.0)) for m in targets}
+    return cells.withColumns(goals).drop(*[f"{kind}_{m}" for kind in ("raw", "part", "most") for m in targets])
+
+
+def _raked(cells: DataFrame, margin: str) -> DataFrame:
+    """Cells scaled so that every value of ``margin`` has its goal. Cells at their cap do not grow: if a value needs
+    more, its other cells make up for them."""
+    of_value, weight = Window.partitionBy(margin), F.col("weight")
+    full = weight >= F.col("cap")
+    cells = cells.withColumns({"held": F.sum("weight").over(of_value),
+                               "full": F.sum(F.when(full, weight).otherwise(0.0)).over(of_value)})
+    goal, free = F.col(f"goal_{margin}"), F.col("held") - F.col("full")
+    factor = (F.when(F.col("held") <= 0, 0.0).when(goal <= F.col("held"), goal / F.col("held"))
+              .when(full | (free <= 0), 1.0).otherwise((goal - F.col("full")) / free))
+    return cells.withColumn("weight", F.least("cap", weight * factor)).drop("held", "full")
 
 
 def mixed_cells(rows: DataFrame, targets: dict[str, float | dict[str, float]], keep_share: float = KEEP_SHARE,
                 rounds: int = ROUNDS) -> DataFrame:
-    """Margins and ``probability`` of every cell of ``rows`` (the margin columns and ``tokens``)."""
+    """Margins, tokens, ``weight`` (share of all kept tokens wanted of the cell), goals and ``probability`` of every
+    cell of ``rows`` (the margin columns and ``tokens``); written."""
     spark, margins = rows.sparkSession, list(targets)
-    cells = rows.groupBy(*margins).agg(F.sum("tokens").alias("tokens"))
-    total = cells.agg(F.sum("tokens").alias("all_tokens"))
-    cells = written(cells.join(F.broadcast(total)).withColumn(  # one row
-        "weight", F.when(F.col("all_tokens") > 0, F.col("tokens") / F.col("all_tokens")).otherwise(0.0)), "cells")
-    goals = {m: written(_targets(cells, m, target), "goals") for m, target in targets.items()}
+    counted = written(rows.groupBy(*margins).agg(F.sum("tokens").alias("tokens")), "cells")
+    all_tokens = float(counted.agg(F.sum("tokens")).first()[0] or 0)
+    share = F.col("tokens") / F.lit(all_tokens) if all_tokens else F.lit(0.0)
+    cells = _reachable(counted.withColumn("weight", share), targets, keep_share)
     for _ in range(rounds):
-        before, cells = cells, written(reduce(lambda c, m: _raked(c, goals[m], m), margins, cells), "cells")
+        before, cells = cells, written(reduce(_raked, margins, cells), "cells")
         dropped(spark, before)
-    wanted = F.lit(keep_share) * F.col("weight") * F.col("all_tokens") / F.col("tokens")
-    out = written(cells.select(*margins, F.when(F.col("tokens") > 0, F.least(F.lit(1.0), wanted))
-                               .otherwise(keep_share).alias("probability")), "mixture")
-    dropped(spark, cells, *goals.values())
+    chance = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") / F.col("cap"))).otherwise(keep_share)
+    out = written(cells.withColumn("probability", chance), "mixture")
+    dropped(spark, counted, cells)
     return out
 
 
-def _measured(docs: DataFrame, id_col: str, text_col: str, columns: dict[str, Column]) -> DataFrame:
-    return docs.select("*", *[F.coalesce(c.cast("string"), F.lit("")).alias(f"__mix_{m}") for m, c in columns.items()],
-                       F.regexp_count(text_of(docs, text_col), F.lit(WORD)).cast("bigint").alias("__mix_tokens"),
-                       draw(docs[id_col]).alias("__mix_draw"))
+def margin_report(cells: DataFrame, margin: str) -> DataFrame:
+    """(value, goal, most, got): shares of the tokens to keep that a value was to have, could have, and has."""
+    return cells.groupBy(F.col(margin).alias("value")).agg(
+        F.max(f"goal_{margin}").alias("goal"), F.sum("cap").alias("most"), F.sum("weight").alias("got"))
 
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", targets: dict | None = None,
             topic: Column | None = None, keep_share: float = KEEP_SHARE, rounds: int = ROUNDS) -> DataFrame:
-    """``docs`` with ``__mix_source``, ``__mix_lang``, ``__mix_topic``, ``__mix_tokens``, ``__mix_probability`` and
-    ``__mix_kept``."""
+    """``__mix_row`` (the whole row of ``docs``), ``__mix_source``, ``__mix_lang``, ``__mix_topic``, ``__mix_tokens``,
+    ``__mix_probability`` and ``__mix_kept``."""
     targets = targets or {"source": TEMPER, "lang": TEMPER, "topic": TEMPER}
     columns = {"source": docs["source"], "lang": docs["lang"],
                "topic": topic_of(text_of(docs, text_col)) if topic is None else topic}
-    rows = _measured(docs, id_col, text_col, columns)
+    # The row travels as one struct, so no name in it meets a name used here.
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("__mix_row"),
+                       *[F.coalesce(c.cast("string"), F.lit("")).alias(f"__mix_{m}") for m, c in columns.items()],
+                       F.regexp_count(text_of(docs, text_col), F.lit(WORD)).cast("bigint").alias("__mix_tokens"),
+                       draw(docs[id_col]).alias("__mix_draw"))
     margins = {f"__mix_{m}": t for m, t in targets.items()}
     cells = mixed_cells(rows.select(*margins, F.col("__mix_tokens").alias("tokens")), margins, keep_share, rounds)
-    placed = narrow_join(rows, cells, list(margins), "left").withColumnRenamed("probability", "__mix_probability")
+    chances = written(cells.select(*margins, F.col("probability").alias("__mix_probability")), "chances")
+    placed = narrow_join(rows, chances, list(margins), "left")
     return placed.withColumn("__mix_kept", F.col("__mix_draw") < F.col("__mix_probability"))
 
 
 def mixed_sample(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the mixture keeps, with all their columns."""
-    return mixture(docs, **options).where("__mix_kept").select(*docs.columns)
+    return mixture(docs, **options).where("__mix_kept").select("__mix_row.*")

@@ -60,22 +60,26 @@ def _mix_sql() -> str:
     for number in range(ROUNDS):
         for m in margins:
             new = f"c{number}_{m}"
-            steps.append(f"""{new} AS (SELECT c.* EXCLUDE (weight), weight * goal / sum(weight) OVER (PARTITION BY {m}) AS weight
-  FROM {last} c JOIN g_{m} USING ({m}))""")
+            steps.append(f"""{new} AS (SELECT * EXCLUDE (weight, held, filled), least(cap, weight * CASE WHEN held <= 0 THEN 0
+    WHEN goal_{m} <= held THEN goal_{m} / held WHEN weight >= cap OR held - filled <= 0 THEN 1
+    ELSE (goal_{m} - filled) / (held - filled) END) AS weight
+  FROM (SELECT *, sum(weight) OVER (PARTITION BY {m}) AS held,
+    sum(CASE WHEN weight >= cap THEN weight ELSE 0 END) OVER (PARTITION BY {m}) AS filled FROM {last}))""")
             last = new
-    goals = [f"""g_{m} AS (SELECT {m}, pow(sum(weight), {TEMPER}) / sum(pow(sum(weight), {TEMPER})) OVER () AS goal
-  FROM c0 GROUP BY {m})""" for m in margins]
+    goals = [f"""r_{m} AS (SELECT {m}, least(pow(sum(weight), {TEMPER}) / sum(pow(sum(weight), {TEMPER})) OVER (), sum(cap)) AS goal
+  FROM cc GROUP BY {m})""" for m in margins]
+    total = "least(" + ", ".join(f"(SELECT sum(goal) FROM r_{m})" for m in margins) + ")"
+    joined = " ".join(f"JOIN (SELECT {m}, goal * {total} / (SELECT sum(goal) FROM r_{m}) AS goal_{m} FROM r_{m}) USING ({m})" for m in margins)
     return f"""WITH d AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
   CASE WHEN contains(t, ' | ') THEN 'table' WHEN contains(t, 'icensed under ') OR contains(t, 'eleased under ') THEN 'licensed'
     WHEN regexp_matches(t, '[0-9]{{8}}') THEN 'record' ELSE 'prose' END AS topic,
   CAST(len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens,
   CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '{SEED}'), 1, 8) AS BIGINT) / 4294967296.0 AS u
   FROM (SELECT *, coalesce(text, '') AS t FROM documents)),
-c0 AS (SELECT source, lang, topic, sum(tokens) AS tokens, sum(tokens) / sum(sum(tokens)) OVER () AS weight,
-  sum(sum(tokens)) OVER () AS all_tokens FROM d GROUP BY ALL),
-{", ".join(goals)}, {", ".join(steps)},
-p AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(1.0, {KEEP_SHARE} * weight * all_tokens / tokens)
-  ELSE {KEEP_SHARE} END AS p FROM {last})
+cc AS (SELECT *, weight / {KEEP_SHARE} AS cap FROM (SELECT source, lang, topic, sum(tokens) AS tokens,
+  sum(tokens) / sum(sum(tokens)) OVER () AS weight FROM d GROUP BY ALL)),
+{", ".join(goals)}, c0 AS MATERIALIZED (SELECT * FROM cc {joined}), {", ".join(steps)},
+p AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(1.0, weight / cap) ELSE {KEEP_SHARE} END AS p FROM {last})
 SELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability, u < p AS kept
 FROM d JOIN p USING (source, lang, topic)"""
 
@@ -83,7 +87,7 @@ FROM d JOIN p USING (source, lang, topic)"""
 @query("op2_mixing", _mix_sql())
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(documents(spark, sf_dir)).select(
-        "doc_id", *[F.col(f"__mix_{c}").alias(c) for c in ("source", "lang", "topic", "tokens")],
+        "__mix_row.doc_id", *[F.col(f"__mix_{c}").alias(c) for c in ("source", "lang", "topic", "tokens")],
         F.round("__mix_probability", 6).alias("probability"), F.col("__mix_kept").alias("kept"))
 
 

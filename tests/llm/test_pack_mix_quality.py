@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cases import LAYOUT, awkward_rows, prose, table
-from roadledger.llm.mixing import mixed_cells, mixed_sample, mixture
+from roadledger.llm.mixing import KEEP_SHARE, ROUNDS, TEMPER, margin_report, mixed_cells, mixed_sample, mixture
 from roadledger.llm.packing import first_fit_decreasing, pack
 from roadledger.llm.quality import accepted, fit_quality, quality_scores
 from roadledger.llm.statistics import NAMES, statistics
@@ -95,7 +96,7 @@ def test_raking_meets_the_targets(spark):
     df = spark.createDataFrame(rows, "source string, topic string, tokens bigint")
     goals = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "topic": {"x": 0.2, "y": 0.2, "z": 0.6}}
     cells = mixed_cells(df, goals, keep_share=0.1, rounds=25)
-    kept = df.groupBy("source", "topic").agg(F.sum("tokens").alias("n")).join(cells, ["source", "topic"]).collect()
+    kept = df.groupBy("source", "topic").agg(F.sum("tokens").alias("n")).join(cells.drop("tokens"), ["source", "topic"]).collect()
     total = sum(r.n for r in df.groupBy().agg(F.sum("tokens").alias("n")).collect())
     for margin, goal in goals.items():
         for value, share in goal.items():
@@ -103,6 +104,56 @@ def test_raking_meets_the_targets(spark):
             assert got == pytest.approx(share, abs=1e-6)
 
 
+def test_raking_with_cells_that_give_all_they_have(spark):
+    """At the parameters of the query: full cells are made up for by the others, unreachable goals are all there is."""
+    pick = random.Random(6)
+    sizes = {"big": 4000, "mid": 500, "rare": 12}
+    rows = [(s, t, v, pick.randint(1, n)) for s, n in sizes.items() for t in "xyz" for v in ("en", "fr") for _ in range(5)]
+    df = spark.createDataFrame(rows, "source string, topic string, lang string, tokens bigint")
+    cells = mixed_cells(df, {"source": TEMPER, "topic": TEMPER, "lang": TEMPER}, KEEP_SHARE, ROUNDS)
+    total = sum(r[3] for r in rows)
+    assert any(r.probability == 1 for r in cells.collect())
+    for margin in ("source", "topic", "lang"):
+        for r in margin_report(cells, margin).collect():
+            assert r.got == pytest.approx(r.goal, rel=0.01) and r.got <= r.most * (1 + 1e-9)
+            kept = sum(c.tokens * c.probability for c in cells.where(F.col(margin) == r.value).collect())
+            assert kept == pytest.approx(r.got * KEEP_SHARE * total)
+    unmet = {r.value: r for r in margin_report(cells, "source").collect()}["rare"]
+    assert unmet.goal == pytest.approx(unmet.most) and unmet.got == pytest.approx(unmet.most, rel=0.01)
+
+
+def test_mixing_takes_any_names(spark):
+    names = ["probability", "__mix_tokens", "__mix_kept", "tokens", "weight", "cap", "a.b"]
+    rows = [(k, prose(k, 30), "en", "s", *([k] * len(names))) for k in range(40)]
+    layout = "doc_id bigint, text string, lang string, source string, " + ", ".join(f"`{n}` int" for n in names)
+    df = spark.createDataFrame(rows, layout)
+    out = mixed_sample(df)
+    assert out.columns == df.columns and 0 < out.count() < 40
+    assert {tuple(r) for r in out.collect()} < set(rows)
+
+
+def test_pipeline_on_awkward_and_empty_tables(spark, tmp_path):
+    """Every stage takes nulls, empty texts, repeated rows and clashing names; ids of kept rows are what was packed."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    rows = awkward_rows() + [(1000 + i, prose(900 + i, 60 + i)) + (None,) * 6 for i in range(40)]
+    labels = [(r[0], int(bool(r[1]) and len(r[1]) > 40), 0) for r in rows if r[0] is not None] + [(1, None, None), (None, 1, 1)]
+    for name, some in (("full", rows), ("none", [])):
+        folder = str(tmp_path / name)
+        table(spark, some).withColumnRenamed("uid", "probability").write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        out = corpus_pipeline.run(spark, folder).orderBy("doc_id", "start").collect()
+        plain, texts = Tokenizer.from_file(PATH), {r[0]: r[1] or "" for r in some}
+        got = {}
+        for p in out:
+            got.setdefault(p.doc_id, []).extend(np.frombuffer(p.ids, "<u4").tolist())
+        assert all(ids == plain.encode(texts[doc], add_special_tokens=False).ids + [1] for doc, ids in got.items())
+        assert len({re.sub(r"[\x20\x09-\x0D]", "", texts[doc]) for doc in got}) == len(got)
+    assert not got
+
+
 def test_statistics_do_not_depend_on_the_neighbours():
     import pyarrow as pa
 
