@@ -14,20 +14,17 @@ from roadledger.operators.joins import sized_join
 from roadledger.session import scratch, written
 from roadledger.sources.collisions import audit
 from roadledger.sources.warehouse import Warehouse
+from roadledger.streaming.keyed_state import SeenKeys
 
 
-def already_known(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """``rows`` with ``is_known``: whether the key is among those accepted before.
+def already_known(rows: DataFrame, seen: SeenKeys, epoch: int, batch_id: str) -> DataFrame:
+    """``rows`` with ``is_known``: whether the key was accepted in another batch.
 
-    The accepted keys are cut down to the few of this micro-batch first: a semi-join with its
-    distinct keys, written so that Spark knows their size and broadcasts them while they are small.
-    Of the history only the key column is read, and only the hits are joined to the rows. A null
+    The keys of this micro-batch are looked up in the state store; only the hits are joined to the rows. A null
     key equals a null key, as in the batch gate.
     """
-    wanted = written(rows.select(key).distinct(), "keys")
-    held = known.select(key)
-    hits = written(held.join(wanted, held[key].eqNullSafe(wanted[key]), "left_semi").distinct(), "hits")
-    return sized_join(rows, hits.withColumn("is_known", F.lit(True)), [key], "left", null_safe=True).withColumn(
+    hits = seen.held_elsewhere(rows.select(seen.key), epoch, batch_id)
+    return sized_join(rows, hits.withColumn("is_known", F.lit(True)), [seen.key], "left", null_safe=True).withColumn(
         "is_known", F.coalesce("is_known", F.lit(False)))
 
 
@@ -35,7 +32,8 @@ def gate_batch(warehouse: Warehouse, key: str = "accident_index", prefix: str =
                source: str = "stream", order: tuple[str, ...] = ()) -> Callable[[DataFrame, int], None]:
     """The micro-batch function. Its batch id is the epoch, and each table gets that partition
     written whole, so an epoch that is run again replaces its own rows. What it wrote on the way is
-    removed when it is done."""
+    removed when it is done; the keys accepted so far stay in a state store beside the tables."""
+    seen = SeenKeys(warehouse, "stg_incidents", key)
 
     def run(rows: DataFrame, epoch: int) -> None:
         with scratch(warehouse.spark):
@@ -47,10 +45,9 @@ def gate_batch(warehouse: Warehouse, key: str = "accident_index", prefix: str =
         arrived = written(rows.withColumns({
             "arrival": F.monotonically_increasing_id(), "ingested_at": F.current_timestamp(),
             "batch_id": F.lit(batch_id)}), "arrived")
-        known = warehouse.read("stg_incidents").where(F.col("batch_id") != batch_id)
-        flagged = already_known(flag_repeats(arrived, [key], [*order, "arrival"], ["arrival"]), known, key)
-        seen = Rule("DUPLICATE_ACCIDENT_INDEX", MESSAGES["DUPLICATE_ACCIDENT_INDEX"], F.col("is_known"))
-        judged = written(flagged.withColumn("rejection_reason", first_failure([*incident_rules(), seen]))
+        flagged = already_known(flag_repeats(arrived, [key], [*order, "arrival"], ["arrival"]), seen, epoch, batch_id)
+        repeated = Rule("DUPLICATE_ACCIDENT_INDEX", MESSAGES["DUPLICATE_ACCIDENT_INDEX"], F.col("is_known"))
+        judged = written(flagged.withColumn("rejection_reason", first_failure([*incident_rules(), repeated]))
                          .drop("is_repeat", "is_known"), "judged")
         counts = accounting(judged).first()
         records = envelopes(judged, source, key, rows.columns, ordinal="arrival").withColumns({
