@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from roadledger.catalog.feed import STAR_SQL, star_frames
 from roadledger.catalog.registry import query, table
@@ -69,6 +69,36 @@ def ks_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tested.withColumn("p", drift.ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur"))).select("feature", millionths("p"))
 
 
+_STEP = """list_append(acc, CASE WHEN abs(i * m - CAST(e[1] AS BIGINT) * n) >= reach THEN 0.0 WHEN i = 0 AND e[1] = 0 THEN 1.0
+    ELSE (e[2] * i + CASE WHEN e[1] > 0 THEN acc[-1] ELSE 0 END * e[1]) / (i + e[1]) END)"""
+
+
+@query("j_ks_exact", f"""WITH RECURSIVE v AS (SELECT l_suppkey, l_quantity AS x, count(*) FILTER (l_returnflag = 'R') AS r, count(*) FILTER (l_returnflag = 'A') AS a
+  FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY ALL),
+w AS (SELECT l_suppkey, abs(sum(r) OVER up * sum(a) OVER whole - sum(a) OVER up * sum(r) OVER whole) AS gap, sum(r) OVER whole AS n, sum(a) OVER whole AS m
+  FROM v WINDOW up AS (PARTITION BY l_suppkey ORDER BY x), whole AS (PARTITION BY l_suppkey)),
+k AS (SELECT l_suppkey, CAST(max(n) AS BIGINT) AS n, CAST(max(m) AS BIGINT) AS m, CAST(max(gap) AS BIGINT) AS reach FROM w WHERE n > 0 AND m > 0 GROUP BY l_suppkey),
+s AS (SELECT l_suppkey, n, m, reach, -1::BIGINT AS i, [0.0::DOUBLE FOR j IN range(m + 1)] AS row FROM k
+  UNION ALL SELECT l_suppkey, n, m, reach, i, list_reduce([[j::DOUBLE, row[j + 1]] FOR j IN range(m + 1)], lambda acc, e: {_STEP}, []::DOUBLE[])
+  FROM (SELECT * REPLACE (i + 1 AS i) FROM s WHERE i < n))
+SELECT l_suppkey, n AS n_ref, m AS n_cur, CAST(round(CASE WHEN reach = 0 THEN 1 ELSE least(greatest(1 - row[-1], 0), 1) END * 1000000) AS BIGINT) AS p
+FROM s WHERE i = n""")
+def ks_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantities of returned against accepted lines by supplier; a supplier has some hundred of them at any scale."""
+    lines = table(spark, sf_dir, "lineitem").where("l_returnflag IN ('R', 'A')")
+    counted = lines.groupBy("l_suppkey", F.col("l_quantity").alias("value")).agg(
+        F.count_if(F.col("l_returnflag") == "R").alias("ref"), F.count_if(F.col("l_returnflag") == "A").alias("cur"))
+    whole = Window.partitionBy("l_suppkey")
+    upto = whole.orderBy("value")
+    gaps = counted.select("l_suppkey", *[F.sum(c).over(w).alias(f"{c}_{name}") for c in ("ref", "cur")
+                                         for w, name in ((upto, "upto"), (whole, "total"))])
+    gap = F.abs(F.col("ref_upto") / F.col("ref_total") - F.col("cur_upto") / F.col("cur_total"))
+    tested = gaps.where("ref_total > 0 AND cur_total > 0").groupBy("l_suppkey").agg(
+        F.max("ref_total").alias("n_ref"), F.max("cur_total").alias("n_cur"), F.max(gap).alias("ks"))
+    exact = tested.withColumn("p", drift.exact_ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
+    return exact.select("l_suppkey", "n_ref", "n_cur", millionths("p"))
+
+
 _SPLIT = """SELECT *, rn < floor(n * 0.70::DOUBLE) AS is_ref FROM (SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS rn, count(*) OVER () AS n FROM (
   SELECT event_id, ts, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, event_type,
   50 + user_id % 90 / 100.0 AS latitude, -2 + value / 1000 AS longitude FROM events))"""

@@ -8,7 +8,7 @@ from roadledger.catalog.feed import (ARRIVAL_COLUMNS, GATED_SQL, PARSED_SQL, STA
                                      inferred_list_sql, star_frames)
 from roadledger.catalog.gate import gated_feed
 from roadledger.catalog.registry import query, table
-from roadledger.operators import dedup, joins
+from roadledger.operators import dedup, joins, skipping
 from roadledger.operators.gate import passed
 from roadledger.plans import star as plan
 from roadledger.session import fresh_path, written
@@ -185,6 +185,24 @@ def anti_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.only_new(candidates, existing, natural)
 
 
+_INDEX = "l_orderkey || '-' || l_linenumber"
+
+
+@query("c_anti_bloom", f"""WITH x AS (SELECT {_INDEX} AS index, l_shipdate, l_linestatus = 'O' AND l_returnflag = 'N' AS open,
+  l_orderkey % 100 < 90 AS fresh FROM lineitem)
+SELECT index, l_shipdate FROM x WHERE open AND index NOT IN (SELECT index FROM x WHERE NOT (open AND fresh))""")
+def anti_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open lines are the candidates, a history by month holds a tenth of them and all other lines."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.expr(_INDEX).alias("index"), "l_shipdate", F.expr("l_linestatus = 'O' AND l_returnflag = 'N'").alias("open"),
+        (F.col("l_orderkey") % 100 < 90).alias("fresh"), F.date_format("l_shipdate", "yyyyMM").cast("int").alias("month"))
+    path = fresh_path(spark, "history")
+    lines.where("NOT (open AND fresh)").select("index", "month").hint("rebalance", "month").write.partitionBy("month").parquet(path)
+    history = spark.read.schema("index string, month int").parquet(path)
+    filters = written(skipping.key_filters(history, ["index"], "month", "first"), "filters")
+    return skipping.only_new_by_filters(lines.where("open").select("index", "l_shipdate"), history, filters, ["index"], "month")
+
+
 @query("c_fk_check", """SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
 UNION ALL SELECT l_orderkey, l_returnflag FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)""")
 def fk_check(spark: SparkSession, sf_dir: str) -> DataFrame:

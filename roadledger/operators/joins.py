@@ -128,10 +128,11 @@ def only_new(candidates: DataFrame, existing: DataFrame, on: Sequence[str]) -> D
     return candidates.join(known, null_safe_match(candidates, known, on), "left_anti")
 
 
-def only_new_to_history(candidates: DataFrame, history: DataFrame, on: Sequence[str]) -> DataFrame:
+def only_new_to_history(candidates: DataFrame, history: DataFrame, on: Sequence[str], wanted: DataFrame | None = None) -> DataFrame:
     """As ``only_new`` for a history far larger than the batch: its keys are first cut down to those of the
-    batch, which are sent to where the history lies while they are few. Both sides should be stored tables."""
-    wanted = written(candidates.select(*on).distinct(), "wanted_keys")
+    batch, which are sent to where the history lies while they are few. Both sides should be stored tables;
+    ``wanted`` are the batch's distinct keys, where they are stored already."""
+    wanted = written(candidates.select(*on).distinct(), "wanted_keys") if wanted is None else wanted
     small, known = is_small(wanted), history.select(*on)
     asked = F.broadcast(wanted) if small else wanted
     held = written(known.join(asked, null_safe_match(known, wanted, on), "left_semi").distinct(), "held_keys")

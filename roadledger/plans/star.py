@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import partial, reduce
 
@@ -13,9 +14,9 @@ from roadledger.functions.weather import inferred_columns
 from roadledger.operators import aggregates
 from roadledger.operators.dedup import distinct_rows, keep_first
 from roadledger.operators.gate import Rule, accounting, envelopes, incident_gate, passed
-from roadledger.operators.joins import (attach_weather, lookup_key, null_safe_match, only_new, only_new_to_history,
-                                        sized_join, star_join)
+from roadledger.operators.joins import attach_weather, lookup_key, null_safe_match, only_new, sized_join, star_join
 from roadledger.operators.ordering import number_rows
+from roadledger.operators.skipping import key_filters, only_new_by_filters
 from roadledger.schemas import READING_ORDER
 from roadledger.session import side_by_side, written
 from roadledger.sources.collisions import PLACE
@@ -100,8 +101,31 @@ def numbered_facts(facts: DataFrame, after: int) -> DataFrame:
     """Unique, increasing keys without ordering the facts; they leave gaps like a sequence does."""
     return facts.withColumns({
         "accident_key": F.lit(after + 1).cast("bigint") + F.monotonically_increasing_id(),
-        "date_month": F.floor(F.col("date_key") / 10000).cast("int"),  # facts are stored by month
-        "created_at": F.current_timestamp()})
+        "date_month": month_of(F.col("date_key")), "created_at": F.current_timestamp()})
+
+
+def month_of(date_key: Column) -> Column:
+    """The month that facts are stored by."""
+    return F.floor(date_key / 10000).cast("int")
+
+
+def add_fact_filters(warehouse: Warehouse, rows: DataFrame) -> None:
+    """A segment of the Bloom filters over ``rows`` (accident_index, date_month). It is written before the facts: a load
+    that ends in between leaves bits too many, never too few."""
+    segment = key_filters(rows, ["accident_index"], "date_month", uuid.uuid4().hex)
+    warehouse.append("fact_filters", segment.hint("rebalance", "date_month"))
+
+
+def not_yet_facts(warehouse: Warehouse, incidents: DataFrame) -> DataFrame:
+    """Incidents whose index is no fact; only months whose filters may hold one are read."""
+    facts, filters = warehouse.read("fact_incidents"), warehouse.read("fact_filters")
+    if filters.isEmpty():
+        if facts.isEmpty():
+            return incidents
+        # Facts from before there were filters.
+        add_fact_filters(warehouse, facts.select("accident_index", "date_month"))
+        filters = warehouse.read("fact_filters")
+    return only_new_by_filters(incidents, facts, filters, ["accident_index"], "date_month")
 
 
 def validate_and_quarantine(warehouse: Warehouse, batch_id: str | None = None,
@@ -146,7 +170,10 @@ def load_star(warehouse: Warehouse, valid: DataFrame, day_first: bool = True,
         lambda: extend_dimension(warehouse, "dim_road", road_rows(incidents), "road_key", ROAD_KEY_COLUMNS),
         lambda: extend_dimension(warehouse, "dim_weather", weather_rows(incidents), "weather_key", ["weather_condition"]))
     # Rows that are facts already leave before any lookup, so a repeated load looks up nothing.
-    fresh = only_new_to_history(incidents, warehouse.read("fact_incidents"), ["accident_index"])
+    fresh = written(not_yet_facts(warehouse, incidents), "fresh")
+    if fresh.isEmpty():
+        return
+    add_fact_filters(warehouse, fresh.select("accident_index", month_of(F.col("date_key")).alias("date_month")))
     keyed = with_dimension_keys(fresh, warehouse.read("dim_location"), warehouse.read("dim_road"),
                                 warehouse.read("dim_weather"), full_location_key)
     facts = keyed.select(*FACT_COLUMNS) if unique else fact_rows(keyed)

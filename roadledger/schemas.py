@@ -111,6 +111,11 @@ FACT_INCIDENTS = _layout(
     ("number_of_casualties", I), ("created_at", TS), ("date_month", I),
 )
 
+# Blocks of the Bloom filters over accident_index, by month and load.
+FACT_FILTERS = _layout(
+    ("segment", S), ("blocks", L), ("block", L), *[(f"w{k}", L) for k in range(8)], ("date_month", I),
+)
+
 EXPERIMENT_RUNS = _layout(
     ("run_name", S), ("params", T.MapType(S, S)), ("metrics", T.MapType(S, D)),
     ("tags", T.MapType(S, S)), ("logged_at", TS),
@@ -142,11 +147,13 @@ TABLES = {
     "dim_weather": DIM_WEATHER,
     "dim_severity": DIM_SEVERITY,
     "fact_incidents": FACT_INCIDENTS,
+    "fact_filters": FACT_FILTERS,
     "experiment_runs": EXPERIMENT_RUNS,
 }
 
 PARTITIONED_BY = {
     "fact_incidents": ["date_month"],
+    "fact_filters": ["date_month"],
     "stg_incidents": ["batch_id"],
     "stg_weather": ["batch_id"],
     "quarantine": ["batch_id"],

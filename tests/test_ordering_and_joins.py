@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
-from roadledger.operators import joins, ordering
+from roadledger.operators import joins, ordering, skipping
+from roadledger.session import written
 
 
 def test_row_numbers_equal_a_global_window(spark):
@@ -125,3 +126,40 @@ def test_checks(spark):
     assert [tuple(r) for r in joins.key_violations(rows, ["k"]).collect()] == [(1, 2)]
     parents = spark.createDataFrame([(1,)], "p int")
     assert [r["k"] for r in joins.missing_parents(rows, parents, "k", "p").collect()] == [2]
+
+
+def test_filters_leave_untouched_months_unread(spark, tmp_path):
+    """Months without hits are no input of the plan; nothing is missed, also with nulls and several segments."""
+    rows = [(None if k == 7 else f"k{k}", 202401 + k % 12, k) for k in range(6000)] + [("late", None, 0), ("k1", 202403, 0)]
+    history = spark.createDataFrame(rows, "k string, month int, n int")
+    history.write.partitionBy("month").parquet(path := str(tmp_path / "history"))
+    history = spark.read.schema("k string, month int, n int").parquet(path)
+    half = F.coalesce(F.col("n") % 2, F.lit(0)) == 0
+    segments = [skipping.key_filters(history.where(half), ["k"], "month", "a"), skipping.key_filters(history.where(~half), ["k"], "month", "b")]
+    filters = written(segments[0].unionByName(segments[1]), "filters")
+    batch = written(spark.createDataFrame([("k1",), ("k14",), ("k25",), ("new",), ("newer",)], "k string"), "batch")
+    months = skipping.possible_parts(batch, filters, ["k"], "month")
+    assert {202402, 202403} <= set(months) and len(months) < 5
+    kept = skipping.in_parts(history, "month", months)
+    assert {f.rsplit("month=", 1)[1].split("/")[0] for f in kept.inputFiles()} >= {str(m) for m in months}
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [month" in plan
+    read = {r.p for r in kept.select(F.regexp_extract("_metadata.file_path", "month=([^/]+)", 1).alias("p")).distinct().collect()}
+    assert read == {str(m) for m in months}
+    assert sorted(r.k for r in skipping.only_new_by_filters(batch, history, filters, ["k"], "month").collect()) == ["new", "newer"]
+    odd = written(spark.createDataFrame([(None,), ("late",), ("nowhere",)], "k string"), "batch")
+    assert [r.k for r in skipping.only_new_by_filters(odd, history, filters, ["k"], "month").collect()] == ["nowhere"]
+    none = filters.where("false")
+    assert skipping.possible_parts(batch, none, ["k"], "month") == []
+
+
+def test_filters_name_few_partitions_wrongly(spark):
+    rows = spark.range(40_000).selectExpr("concat('k', id) AS k", "cast(id % 4 AS int) AS month")
+    filters = written(skipping.key_filters(written(rows, "rows"), ["k"], "month", "a"), "filters")
+    first, second = skipping._hashes(["k"])
+    absent = spark.range(20_000).selectExpr("concat('x', id) AS k").select("k", first.alias("h1"), second.alias("h2"))
+    tried = absent.crossJoin(F.broadcast(filters.select("month", "blocks").distinct()))  # four rows
+    met = tried.withColumn("block", skipping._block(F.col("h1"), F.col("blocks"))).join(filters, ["month", "blocks", "block"])
+    for k in range(skipping.WORDS):
+        met = met.where(F.getbit(f"w{k}", skipping._bit(F.col("h2"), k)) == 1)
+    assert met.count() <= 20
