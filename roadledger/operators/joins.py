@@ -8,11 +8,11 @@ keys found to be hot.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from roadledger.session import planned_bytes, stored, written
+from roadledger.session import planned_bytes, side_by_side, stored, written
 
 # At most this many keys can each hold more than 1/256 of the rows, so the list is bounded.
 HOT_KEY_LIMIT = 256
@@ -110,8 +110,11 @@ def star_join(facts: DataFrame, dims: Sequence[tuple[DataFrame, str, Sequence[st
     keys = [key for _, key, _ in dims]
     kept = list(fact_columns) if fact_columns is not None else [c for c in facts.columns if c not in keys]
     result = facts.select(*dict.fromkeys([*kept, *keys]))
-    narrowed = [(stored(dim.select(key, *[c for c in columns if c != key]), "dimension"), key) for dim, key, columns in dims]
-    sized = [(wanted, key, is_small(wanted)) for wanted, key in narrowed]
+    def sized_side(dim: DataFrame, key: str, columns: Sequence[str]) -> tuple[DataFrame, str, bool]:
+        wanted = stored(dim.select(key, *[c for c in columns if c != key]), "dimension")
+        return wanted, key, is_small(wanted)
+
+    sized = side_by_side(*[partial(sized_side, *dim) for dim in dims]) if dims else []
     for wanted, key, small in sorted(sized, key=lambda d: not d[2]):
         result = result.join(F.broadcast(wanted), key) if small else salted_join(result, wanted, [key], hot=hot_keys(facts, [key]))
     wanted = [c for _, _, columns in dims for c in columns]
