@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from roadledger.llm.common import ADDRESS, FILE, ROW, addressed, dropped, narrow_join, settings
 from roadledger.llm.components import components
-from roadledger.llm.shingles import mixed, shingle_sets, slices, word_lists
+from roadledger.llm.shingles import give_back, mixed, shingle_sets, slices, word_lists
 from roadledger.session import written
 
 BANDS, BAND_ROWS, BITS = 51, 5, 256
@@ -135,6 +135,7 @@ def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i, j = _plausible_pairs(left, right, head)
             uids += [left["uid"][i], right["uid"][j]]
         yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(uids)))], names=["uid"])
+        give_back()
 
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -165,6 +166,8 @@ def _links_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             found.append(np.stack([left["uid"][i[first]], right["uid"][j[first]]], axis=1))
         pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        del found, pairs
+        give_back()
 
 
 def _members(lists: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:

@@ -32,9 +32,9 @@ LENGTH = 2048
 END_ID = 1
 GROUP_BYTES = 4 << 20
 #: Chunks a Python worker remembers anew before it forgets those it has not met since the last time.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 #: Text bytes tokenised at a time.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
 #: Words of Latin letters that are tokenised as one text.
 JOINED = 256
 LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")

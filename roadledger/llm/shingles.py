@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,14 @@ PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0
                   dtype=np.uint64)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system, so that a worker that waits holds no more than it needs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches where about ``limit`` bytes of ``column`` are reached; every part has a row.
 
@@ -30,7 +40,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(start + 1, int(np.searchsorted(sizes, base + limit, side="right")))
             yield batch if stop - start == batch.num_rows else batch.take(pa.array(np.arange(start, stop)))
             start = stop
-        pa.default_memory_pool().release_unused()  # a worker that waits holds no more than it needs
+        give_back()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
