@@ -32,9 +32,9 @@ LENGTH = 2048
 END_ID = 1
 GROUP_BYTES = 4 << 20
 #: Chunks a Python worker remembers anew before it forgets those it has not met since the last time.
-REMEMBERED = 150_000
-#: Text bytes tokenised at a time.
-SLICE_BYTES = 1 << 20
+REMEMBERED = 200_000
+#: Text bytes tokenised at a time: more is faster, less takes less memory.
+SLICE_BYTES = 3 << 20
 #: Words of Latin letters that are tokenised as one text.
 JOINED = 256
 LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
@@ -163,11 +163,11 @@ _PIECES = (f"id bigint, {FILE} bigint, {ROW} bigint, start bigint, length bigint
            "offset bigint, ids binary")
 
 
-def _tokenised(path: str, end_id: int):
+def _tokenised(path: str, end_id: int, slice_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = _tokenizer(path).kind
         end = np.array([end_id], kind).tobytes()
-        for part in slices(batches, "text", SLICE_BYTES):
+        for part in slices(batches, "text", slice_bytes):
             ids = [i.tobytes() + end for i in token_ids(part.column("text"), path)]
             yield pa.RecordBatch.from_arrays([part.column(c) for c in ("id", FILE, ROW, "group")] + [pa.array(ids, pa.binary())],
                                              names=["id", FILE, ROW, "group", "ids"])
@@ -206,7 +206,7 @@ def _packed(path: str, length: int):
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-         end_id: int = END_ID, group_bytes: int = GROUP_BYTES, seed: int = 7) -> DataFrame:
+         end_id: int = END_ID, group_bytes: int = GROUP_BYTES, seed: int = 7, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row per piece: id, address, start, length, doc_tokens, sequence_id, offset and its ids (little-endian uint32).
 
     ``tokenizer`` is the path of a tokenizer file that every executor can open.
@@ -216,5 +216,5 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     groups = max(1, -(-total // group_bytes))
     dealt = rows.select(rows[id_col].cast("bigint").alias("id"), *ADDRESS, text_of(rows, text_col).alias("text"),
                         F.pmod(F.xxhash64(FILE, ROW, F.lit(seed)), F.lit(groups)).cast("int").alias("group"))
-    tokens = dealt.mapInArrow(_tokenised(tokenizer, end_id), _TOKENS)
+    tokens = dealt.mapInArrow(_tokenised(tokenizer, end_id, slice_bytes), _TOKENS)
     return tokens.groupBy("group").applyInArrow(_packed(tokenizer, length), _PIECES).withColumnRenamed("id", id_col)
