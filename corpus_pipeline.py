@@ -1,7 +1,10 @@
 """Training-data pipeline over ``documents``: quality, exact copies, near copies, mixture, packed sequences.
 
 Each stage works on all rows its predecessor kept, read back from Parquet; the last returns packed
-pieces with their token ids and a checksum of them.
+pieces with their token ids and a checksum of them. Nulls, empty and long texts, ties, repeated rows, empty tables and
+other columns are handled as the operators' docstrings say: an empty text is rejected or kept by its score like any
+other, of equal or near-equal texts one row stays, rows that share an id are drawn together, and all columns of
+``documents`` pass every stage but the last unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from roadledger.llm.quality import accepted
 from roadledger.session import written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Python workers of the stages before are still there when texts are tokenised, so this stage holds less at a time.
+SLICE_BYTES = 1 << 20
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +42,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, TOKENIZER).withColumn("ids_crc32", F.crc32("ids")).drop(*ADDRESS)
+    return pack(docs, TOKENIZER, slice_bytes=SLICE_BYTES).withColumn("ids_crc32", F.crc32("ids")).drop(*ADDRESS)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact_copies), ("near_dedup", near_copies), ("mixing", mixing),
