@@ -8,12 +8,13 @@ mark can occur there and the turns can be read back exactly. ``loss_spans`` are
 Defined results: null text or role is empty; turns are sorted by (turn, role, text), nulls first, so repeated rows
 stay as repeated turns; a null conv_id is one conversation; roles without marks of their own get the general ones; an
 empty table gives no rows; other columns are neither read nor returned. One conversation is one output row, so its
-turns meet in one task whatever the operator does.
+turns meet in one task whatever the operator does; the work grows with its turns and its characters, not with their
+squares: places are running sums over the sorted rows, and no step copies what the earlier ones made.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 START, TURN = "<s>", "[TURN]"
 #: role: (opening mark, closing mark)
@@ -21,6 +22,8 @@ MARKS = {"user": ("[INST] ", " [/INST]"), "system": ("[SYS] ", " [/SYS]"), "assi
 OTHER_OPEN, OTHER_MID, OTHER_CLOSE = "[ROLE]", "[/ROLE] ", " [/OTHER]"
 #: In this order; every backslash of an escaped text starts one of the three.
 ESCAPES = [("\\", "\\b"), ("<", "\\l"), ("[", "\\o")]
+#: Code points that a formatted conversation is cut into to be read at given places.
+CHUNK = 1024
 
 
 def escaped(text: Column) -> Column:
@@ -40,57 +43,60 @@ def _by_role(role: Column, end: int, other: Column) -> Column:
     return F.coalesce(*named, other)
 
 
-def _blocks(turns: Column) -> Column:
-    """array<struct<role, texts>>: runs of turns of one role."""
-    places = F.transform(turns, lambda t, i: F.struct(i.alias("at"), t["role"].alias("role")))
-    starts = F.filter(places, lambda p: (p["at"] == 0) | (p["role"] != F.get(turns, p["at"] - 1)["role"]))
-    return F.transform(starts, lambda s, k: F.struct(s["role"].alias("role"), F.transform(
-        F.slice(turns, s["at"] + 1, F.coalesce(F.get(starts, k + 1)["at"], F.size(turns)) - s["at"]),
-        lambda t: escaped(t["text"])).alias("texts")))
+def _opening(role: Column) -> Column:
+    return _by_role(role, 0, F.concat(F.lit(OTHER_OPEN), escaped(role), F.lit(OTHER_MID)))
 
 
-def _pieces(blocks: Column) -> Column:
-    """array<struct<text, loss>> in order: marks, and the texts themselves."""
+def _closing(role: Column) -> Column:
+    return _by_role(role, 1, F.lit(OTHER_CLOSE))
 
-    def piece(text: Column, loss: Column) -> Column:
-        return F.struct(text.alias("text"), loss.alias("loss"))
 
-    def block(b: Column) -> Column:
-        role, mark = b["role"], F.lit(False)
-        first = piece(_by_role(role, 0, F.concat(F.lit(OTHER_OPEN), escaped(role), F.lit(OTHER_MID))), mark)
-        texts = F.transform(b["texts"], lambda t, i: F.array(
-            piece(F.when(i == 0, F.lit("")).otherwise(F.lit(TURN)), mark), piece(t, role == "assistant")))
-        return F.concat(F.array(first), F.flatten(texts), F.array(piece(_by_role(role, 1, F.lit(OTHER_CLOSE)), mark)))
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows of (conv, turn, role, text) with ``first`` (opens a run of its role) and the span of the text in the result."""
+    order = Window.partitionBy("conv").orderBy("turn", "role", "text")
+    rows = rows.select("*", F.coalesce(F.col("role") != F.lag("role").over(order), F.lit(True)).alias("first"),
+                       F.coalesce(F.col("role") != F.lead("role").over(order), F.lit(True)).alias("last"),
+                       F.char_length(escaped(F.col("text"))).cast("bigint").alias("length"))
+    before = F.when(F.col("first"), F.char_length(_opening(F.col("role")))).otherwise(F.lit(len(TURN)))
+    after = F.when(F.col("last"), F.char_length(_closing(F.col("role")))).otherwise(F.lit(0))
+    upto = F.sum(before + F.col("length") + after).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("start", upto - after - F.col("length") + F.lit(len(START)))
 
-    return F.flatten(F.transform(blocks, block))
 
+def _blocks(turns: Column, starts: Column) -> Column:
+    """array<struct<role, texts>>: runs of turns of one role, from the places where they start to the next ones."""
+    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.size(turns)))
+    return F.zip_with(starts, ends, lambda s, e: F.struct(
+        F.get(turns, s)["role"].alias("role"),
+        F.transform(F.sequence(s, e - 1), lambda i: escaped(F.get(turns, i)["text"])).alias("texts")))
 
-def _spans(pieces: Column) -> Column:
-    """array<struct<start, length>> of the pieces under the loss mask."""
-    empty = F.array().cast("array<struct<start:bigint,length:bigint>>")
 
-    def step(acc: Column, p: Column) -> Column:
-        size = F.char_length(p["text"]).cast("bigint")
-        span = F.array(F.struct(acc["at"].alias("start"), size.alias("length")))
-        return F.struct((acc["at"] + size).alias("at"),
-                        F.when(p["loss"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+def _pieces(blocks: Column) -> Column:
+    """array<string> in order: marks, and the texts themselves."""
+
+    def block(b: Column) -> Column:
+        texts = F.array_join(b["texts"], TURN)
+        return F.concat(_opening(b["role"]), texts, _closing(b["role"]))
 
-    start = F.struct(F.lit(len(START)).cast("bigint").alias("at"), empty.alias("spans"))
-    return F.aggregate(pieces, start, step, lambda acc: acc["spans"])
+    return F.transform(blocks, block)
 
 
 def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                  text_col: str = "text") -> DataFrame:
     """One row per conversation: its id, ``formatted`` and ``loss_spans``."""
-    turn = F.struct(turns[turn_col].alias("turn"), F.coalesce(turns[role_col].cast("string"), F.lit("")).alias("role"),
-                    F.coalesce(turns[text_col].cast("string"), F.lit("")).alias("text"))
-    rows = turns.select(turns[conv_col].alias("conv"), turn.alias("item")).groupBy("conv").agg(
-        F.array_sort(F.collect_list("item")).alias("turns"))
-    rows = rows.select("conv", _blocks(F.col("turns")).alias("blocks"))
-    rows = rows.select("conv", _pieces(F.col("blocks")).alias("pieces"))
-    return rows.select(F.col("conv").alias(conv_col),
-                       F.concat(F.lit(START), F.array_join(F.col("pieces.text"), "")).alias("formatted"),
-                       _spans(F.col("pieces")).alias("loss_spans"))
+    rows = turns.select(turns[conv_col].alias("conv"), turns[turn_col].alias("turn"),
+                        F.coalesce(turns[role_col].cast("string"), F.lit("")).alias("role"),
+                        F.coalesce(turns[text_col].cast("string"), F.lit("")).alias("text"))
+    # The running sums leave the rows where the aggregate wants them: one exchange.
+    rows = _placed(rows).groupBy("conv").agg(F.array_sort(F.collect_list(
+        F.struct("turn", "role", "text", "start", "length", "first"))).alias("turns"))
+    starts = F.array_compact(F.transform("turns", lambda t, i: F.when(t["first"], i)))
+    spans = F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: F.struct(t["start"], t["length"]))
+    rows = rows.select("conv", "turns", starts.alias("starts"), spans.alias("spans"))
+    rows = rows.select("conv", "spans", _blocks(F.col("turns"), F.col("starts")).alias("blocks"))
+    rows = rows.select("conv", "spans", _pieces(F.col("blocks")).alias("pieces"))
+    return rows.select(F.col("conv").alias(conv_col), F.concat(F.lit(START), F.array_join("pieces", "")).alias("formatted"),
+                       F.col("spans").alias("loss_spans"))
 
 
 def read_turns(formatted: Column) -> Column:
@@ -115,5 +121,17 @@ def read_turns(formatted: Column) -> Column:
 
 def read_loss(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped."""
-    return F.array_join(F.transform(spans, lambda s: unescaped(
-        F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
+
+    def read(chunks: Column, s: Column) -> Column:
+        end = s["start"] + s["length"]
+
+        def part(k: Column) -> Column:
+            low, high = F.greatest(s["start"], k * CHUNK), F.least(end, (k + 1) * CHUNK)
+            return F.substring(F.get(chunks, k.cast("int")), (low - k * CHUNK + 1).cast("int"), (high - low).cast("int"))
+
+        places = F.sequence(F.floor(s["start"] / CHUNK), F.floor((end - 1) / CHUNK))
+        return F.when(s["length"] == 0, F.lit("")).otherwise(unescaped(F.array_join(F.transform(places, part), "")))
+
+    # A list of one, so that the text is cut up once and not again for every span.
+    cut = F.array(F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)))
+    return F.transform(cut, lambda chunks: F.array_join(F.transform(spans, lambda s: read(chunks, s)), ""))[0]

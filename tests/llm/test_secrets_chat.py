@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -163,3 +164,18 @@ def test_chat(spark):
         assert [(t.role, t.text) for t in r.read] == [t[1:] for t in turns]
         assert r.loss == "".join(t[2] for t in turns if t[1] == "assistant")
     assert format_chats(df.limit(0)).count() == 0
+
+
+def test_long_conversations(spark):
+    """Time grows with the turns, not with their square: some seconds for 50,000, of few and of many runs."""
+    turns = spark.range(50_000).selectExpr("id AS turn", "concat('turn ', id, ' [\U0001f600] ', repeat('x', int(id % 30))) AS text")
+    chats = turns.selectExpr("1L AS conv_id", "turn", "IF(turn % 2 = 0, 'user', 'assistant') AS role", "text").unionAll(
+        turns.selectExpr("2L AS conv_id", "turn", "IF(turn < 9, 'tool', 'assistant') AS role", "text"))
+    started = time.perf_counter()
+    out = format_chats(chats).select("*", read_turns(F.col("formatted")).alias("read"),
+                                     read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()
+    assert time.perf_counter() - started < 40
+    texts = [r.text for r in turns.orderBy("turn").collect()]
+    for r in out:
+        assert [t.text for t in r.read] == texts
+        assert r.loss == "".join(texts[1::2] if r.conv_id == 1 else texts[9:])
