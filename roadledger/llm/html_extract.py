@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from roadledger.llm.common import ADDRESS, FILE, ROW, addressed, text_of
 from roadledger.llm.labeller import fit, label, vectors
-from roadledger.llm.pages import Block, blocks
+from roadledger.llm.pages import Block, Step, blocks
 from roadledger.llm.shingles import slices
 
 #: Pages of the table that the labeller is trained on at most, the longest that is taken, and made-up pages.
@@ -35,23 +35,29 @@ OTHER = ("nav header footer aside form menu sidebar ad ads advert advertisement
          "pagination widget sponsored disclaimer toolbar").split()
 
 
-def _weak(block: Block, content: set[str]) -> int | None:
-    """1 for main text, 0 for other blocks."""
-    inside, other = False, False
-    for step in block.path:
-        tokens = step.split(".")
+def _standing(step: Step | None, content: set[str], known: dict[int, tuple[bool, bool]]) -> tuple[bool, bool]:
+    """Whether a step is inside content, and inside something else that the article does not own."""
+    way = []
+    while step and id(step) not in known:
+        way.append(step)
+        step = step.above
+    inside, other = known[id(step)] if step else (False, False)
+    for at in reversed(way):
+        tokens = at.label.split(".")
         # A header inside the article holds its title; the page's own header does not.
-        if any(t in OTHER for t in tokens) and not (inside and tokens[0] == "header"):
-            other = True
+        other = other or any(t in OTHER for t in tokens) and not (inside and tokens[0] == "header")
         inside = inside or any(t in content for t in tokens)
-    return int(inside and not other)
+        known[id(at)] = inside, other
+    return inside, other
 
 
 def weak_labels(page: list[Block], content: set[str] = MAIN) -> np.ndarray | None:
-    """Labels of a page whose mark-up names its article, else None."""
-    if not any(token in content for b in page for step in b.path for token in step.split(".")):
+    """1 for main text, 0 for other blocks, of a page whose mark-up names its article, else None."""
+    known: dict[int, tuple[bool, bool]] = {}
+    standing = [_standing(b.at, content, known) for b in page]
+    if not any(inside for inside, _ in standing):
         return None
-    return np.array([_weak(b, content) for b in page], np.float32)
+    return np.array([inside and not other for inside, other in standing], np.float32)
 
 
 def made_up_pages(count: int = MADE_UP, seed: int = 11) -> list[str]:

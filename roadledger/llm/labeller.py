@@ -7,7 +7,7 @@ from zlib import crc32
 
 import numpy as np
 
-from roadledger.llm.pages import Block
+from roadledger.llm.pages import Block, Step
 
 PATHS, WORDS, EXTRA, HIDDEN = 96, 48, 5, 16
 INPUTS = PATHS + WORDS + EXTRA
@@ -25,20 +25,39 @@ def _slot(token: str, size: int) -> tuple[int, float]:
     return _SLOTS[token, size]
 
 
+def _path(step: Step, known: dict[int, np.ndarray]) -> np.ndarray:
+    """Hashed labels of a step and those around it, inner ones over outer ones; ``known`` has those of the page so far.
+
+    Besides the steps asked for, every sixteenth on the way is remembered, so no walk goes over the same part twice.
+    """
+    way, at = [], step
+    while at and id(at) not in known:
+        way.append(at)
+        at = at.above
+    row = known[id(at)].copy() if at else np.zeros(PATHS, np.float32)
+    for at in reversed(way):
+        for token in at.label.split("."):
+            place, sign = _slot(token, PATHS)
+            row[place] = sign
+        if at.depth % 16 == 0 and at is not step:
+            known[id(at)] = row.copy()
+    known[id(step)] = row
+    return row
+
+
 def vectors(page: list[Block]) -> np.ndarray:
     """One row of inputs per block: hashed tag path, hashed words, and five plain numbers."""
     out = np.zeros((len(page), INPUTS), np.float32)
+    paths: dict[int, np.ndarray] = {}
     for row, block in zip(out, page):
-        for label in block.path:
-            for token in label.split("."):
-                place, sign = _slot(token, PATHS)
-                row[place] = sign
+        if block.at:
+            row[:PATHS] = _path(block.at, paths)
         words = WORD.findall(block.text)
         for word in words:
             place, sign = _slot(word.lower(), WORDS)
             row[PATHS + place] += sign
         row[PATHS:PATHS + WORDS] /= 1 + len(words)
-        row[-EXTRA:] = (np.log1p(min(len(words), 150)) / 5, block.links, block.text[-1:] in ".!?", len(block.path) / 8, 1)
+        row[-EXTRA:] = (np.log1p(min(len(words), 150)) / 5, block.links, block.text[-1:] in ".!?", (block.at.depth if block.at else 0) / 8, 1)
     return out
 
 

@@ -42,12 +42,72 @@ UNQUOTED = re.compile(r"=\s*[^\s\"'=]*/\Z")
 SPACE = re.compile(r"\s+")
 
 
-@dataclass
+@dataclass(slots=True, eq=False, repr=False)
+class Step:
+    """An open element as its name and marks, ``div.ad``, and the step around it: blocks share what is above them."""
+
+    label: str
+    above: Step | None
+    depth: int
+
+
+@dataclass(slots=True)
 class Block:
-    path: tuple[str, ...]  # open elements from the outside in, each as its name and marks: ``div.ad``
+    at: Step | None
     text: str
     links: float  # share of the text inside links
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Labels of the open elements from the outside in."""
+        labels, step = [], self.at
+        while step:
+            labels.append(step.label)
+            step = step.above
+        return tuple(reversed(labels))
+
+
+class Open:
+    """The open elements, with the places that are asked for, so that no question walks over all of them."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, Step | None]] = []
+        self.places: dict[str, list[int]] = {}
+        self.breaking: list[int] = []  # places of elements that are not inline
+        self.silent: list[int] = []
+        self.foreign = 0
+
+    def __len__(self) -> int:
+        return len(self.stack)
+
+    @property
+    def step(self) -> Step | None:
+        return self.stack[-1][1] if self.stack else None
+
+    def last(self, *names: str) -> int:
+        """Place of the innermost element of these names, -1 if there is none."""
+        return max((held[-1] for n in names if (held := self.places.get(n))), default=-1)
+
+    def push(self, name: str, label: str) -> None:
+        at, above = len(self.stack), self.step
+        shown = name not in INLINE or name == "a"
+        self.stack.append((name, Step(label, above, above.depth + 1 if above else 1) if shown else above))
+        self.places.setdefault(name, []).append(at)
+        if name not in INLINE:
+            self.breaking.append(at)
+        if name in SILENT:
+            self.silent.append(at)
+        self.foreign += name in FOREIGN
+
+    def cut(self, to: int) -> None:
+        for name, _ in self.stack[to:]:
+            self.places[name].pop()
+            self.foreign -= name in FOREIGN
+        del self.stack[to:]
+        for places in (self.breaking, self.silent):
+            while places and places[-1] >= to:
+                places.pop()
+
 
 def _marks(attributes: str) -> str:
     names = [n for m in NAMED.finditer(attributes) for n in re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower()) if n]
@@ -87,9 +147,9 @@ def _tag(page: str, start: int, at: int, lasts: dict[str, int], dead: set[int])
 def blocks(page: str | None) -> list[Block]:
     """Blocks with text, in page order. Elements left open end with their parents; stray closing tags are passed over."""
     found: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    stack = Open()
     parts: list[str] = []
-    linked = silent = foreign = at = 0
+    linked = at = 0
     page = page or ""
 
     def flush() -> None:
@@ -97,35 +157,31 @@ def blocks(page: str | None) -> list[Block]:
         if parts:
             text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                path = tuple(label for name, label in stack if name not in INLINE or name == "a")
-                found.append(Block(path, text, min(1.0, linked / max(1, sum(map(len, parts))))))
+                found.append(Block(stack.step, text, min(1.0, linked / max(1, sum(map(len, parts))))))
             parts.clear()
             linked = 0
 
     def take(raw: str) -> None:
         nonlocal linked
-        if stack and stack[-1][0] == "head" and raw.strip():
+        if stack and stack.stack[-1][0] == "head" and raw.strip():
             close(len(stack) - 1)
-        if raw and not silent:
+        if raw and not stack.silent:
             parts.append(raw)
-            if any(name == "a" for name, _ in stack):
+            if stack.places.get("a"):
                 linked += len(raw)
 
     def close(to: int) -> None:
         """Ends all elements from place ``to`` of the stack."""
-        nonlocal silent, foreign
         # What is inside a silent element breaks no block around it.
-        shown = next((k for k, (name, _) in enumerate(stack) if name in SILENT), len(stack)) if silent else len(stack)
-        if any(name not in INLINE for name, _ in stack[to:shown + 1]):
+        shown = stack.silent[0] if stack.silent else len(stack)
+        if any(name not in INLINE for name, _ in stack.stack[to:shown + 1]):
             flush()
-        silent -= sum(name in SILENT for name, _ in stack[to:])
-        foreign -= sum(name in FOREIGN for name, _ in stack[to:])
-        del stack[to:]
+        stack.cut(to)
 
     def end_head(name: str) -> None:
         """Ends an open head, unless the tag is inside a silent element of it; ``body`` ends it in any case."""
-        place = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == "head"), None)
-        if place is not None and (name == "body" or not any(n in SILENT for n, _ in stack[place + 1:])):
+        place = stack.last("head")
+        if place >= 0 and (name == "body" or stack.silent[-1] == place):
             close(place)
 
     lasts, dead = {sign: page.rfind(sign) for sign in "\"'"}, set()
@@ -141,35 +197,28 @@ def blocks(page: str | None) -> list[Block]:
         take(page[at:match.start()])
         at = end
         if name and match[1]:
-            place = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if place is not None and (name in SILENT or all(n in INLINE or name not in INLINE for n, _ in stack[place:])):
+            place = stack.last(name)
+            if place >= 0 and (name in SILENT or name not in INLINE or not stack.breaking or stack.breaking[-1] < place):
                 close(place)
             elif name == "p" or name not in INLINE:
                 flush()
         elif name:
-            if silent and name not in HEAD:
+            if stack.silent and name not in HEAD:
                 end_head(name)
             for starts, ended, walls in ENDS:
-                if name in starts:
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] in ended:
-                            close(k)
-                            break
-                        if stack[k][0] in walls:
-                            break
-            if name not in INLINE and not silent:
+                if name in starts and (place := stack.last(*ended)) > stack.last(*walls):
+                    close(place)
+            if name not in INLINE and not stack.silent:
                 flush()
             elif name == "br":
                 take(" ")
-            if (foreign or name in FOREIGN) and attributes.endswith("/") and not UNQUOTED.search(attributes):
+            if (stack.foreign or name in FOREIGN) and attributes.endswith("/") and not UNQUOTED.search(attributes):
                 pass
             elif name in ("script", "style", "textarea", "title"):
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             elif name not in VOID:  # as in browsers, a closing slash changes nothing elsewhere
-                stack.append((name, name + _marks(attributes)))
-                silent += name in SILENT
-                foreign += name in FOREIGN
+                stack.push(name, name + _marks(attributes))
         match = MARKUP.search(page, at)
     take(CUT_OFF.sub("", page[at:]))  # a page can end inside a tag
     flush()
