@@ -20,7 +20,6 @@ import base64
 import re
 import zlib
 from bisect import bisect_right
-from collections import deque
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -182,7 +181,7 @@ def _escape(match: re.Match) -> list[tuple[str, int, int]] | None:
     return None if code > 0x10FFFF or 0xD800 <= code < 0xE000 else [(chr(code), 0, len(match[0]))]
 
 
-def _member(data: bytes, room: int) -> tuple[bytes, bytes]:
+def _member(data: bytes, room: int) -> tuple[bytearray, bytes]:
     """What a zlib or gzip stream holds, as far as it can be read, and the data after it."""
     tool, out, step = zlib.decompressobj(47), bytearray(), 4096
     for at in range(0, len(data), step):
@@ -199,12 +198,12 @@ def _member(data: bytes, room: int) -> tuple[bytes, bytes]:
                 pass
             if len(out) > room:
                 raise MemoryError
-            return bytes(out), b""
+            return out, b""
         if len(out) > room:
             raise MemoryError
         if tool.eof:
-            return bytes(out), tool.unused_data + data[at + step:]
-    return bytes(out), b""
+            return out, tool.unused_data + data[at + step:]
+    return out, b""
 
 
 def _headed(data: bytes) -> bool:
@@ -212,16 +211,15 @@ def _headed(data: bytes) -> bool:
     return data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 5 and (data[0] << 8 | data[1]) % 31 == 0
 
 
-def _unpacked(data: bytes, room: int) -> tuple[bytes, int] | None:
+def _unpacked(data: bytes, room: int) -> tuple[bytearray, int] | None:
     """Data out of the zlib or gzip members that some bytes begin with, and how many bytes those are; None if there are
     none. MemoryError if it grows beyond the room."""
-    parts, rest = [], data
+    out, rest = bytearray(), data
     while _headed(rest):
         part, left = _member(rest, room)
         room -= len(part)
-        parts.append(part)
+        out = out + part if out else part
         rest = left.lstrip(b"\0")  # padding
-    out = b"".join(parts)
     return (out, len(data) - len(rest)) if out else None
 
 
@@ -248,35 +246,49 @@ def _base64(layer: Layer, room: list[int]) -> Iterator[Layer | tuple[int, int]]:
                 yield span or run.source(start, len(run.chars))
 
 
+def _children(layer: Layer, possible, room: list[int]) -> Iterator[Layer | tuple[int, int] | None]:
+    if "percent" in possible:
+        yield _replaced(layer, PERCENT, _percent)
+    if "escape" in possible:
+        yield _replaced(layer, ESCAPE, _escape)
+    if "base64" in possible:
+        yield from _base64(layer, room)
+
+
+def _digest(text: str, place: tuple[int, int], step: int = 1 << 20) -> bytes:
+    """Of a text and its place, a part at a time."""
+    tool = blake2b(repr(place).encode(), digest_size=16)
+    for at in range(0, len(text), step):
+        tool.update(text[at:at + step].encode("utf-8", "surrogatepass"))
+    return tool.digest()
+
+
 def all_spans(text: str, kinds=("assign", "access", "hex"), layers=("percent", "escape", "base64")) -> tuple[list, list]:
-    """Spans of the text itself, and of all its layers. ``kinds`` and ``layers`` name what a prefilter left possible."""
+    """Spans of the text itself, and of all its layers. ``kinds`` and ``layers`` name what a prefilter left possible.
+
+    The worklist holds layers half done, innermost last: a layer is decoded when its turn comes, so that only those
+    around the present one are in memory, not their neighbours.
+    """
     base = base_spans(text, kinds)
-    found, seen, room = list(base), {text}, [ROOM + GROWTH * len(text)]
-    digests: set[bytes] = set()
-    work = deque([(Layer(text, None, []), layers)])
+    found, room = list(base), [ROOM + GROWTH * len(text)]
+    digests = {_digest(text, (0, len(text)))}
+    top = Layer(text, None, [])
+    work = [(top, _children(top, layers, room))]
     while work:
-        layer, possible = work.popleft()
-        new: list[Layer | tuple[int, int] | None] = []
-        if "percent" in possible:
-            new.append(_replaced(layer, PERCENT, _percent))
-        if "escape" in possible:
-            new.append(_replaced(layer, ESCAPE, _escape))
-        if "base64" in possible:
-            new += _base64(layer, room)
-        for child in new:
-            if isinstance(child, tuple):
-                found.append((*layer.source(*child), "unread"))
-                continue
-            if child is None:
-                continue
+        layer, children = work[-1]
+        child = next(children, work)
+        if child is work:
+            work.pop()
+        elif isinstance(child, tuple):
+            found.append((*layer.source(*child), "unread"))
+        elif child is not None and child.text:
             # The place counts too: one payload at two places is two findings.
-            place = child.source(0, len(child.text)) if child.text else (0, 0)
-            key = blake2b(f"{place}:{child.text}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            if not child.text or key in digests or child.text in seen and place == (0, len(text)):
-                continue
-            digests.add(key)
-            found += [(*child.source(start, end), kind) for start, end, kind in base_spans(child.text)]
-            work.append((child, ("percent", "escape", "base64")))
+            key = _digest(child.text, child.source(0, len(child.text)))
+            if key not in digests:
+                digests.add(key)
+                found += [(*child.source(start, end), kind) for start, end, kind in base_spans(child.text)]
+                work.append((child, _children(child, ("percent", "escape", "base64"), room)))
+        child = None
     return base, ordered(found)
 
 
