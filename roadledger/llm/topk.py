@@ -9,8 +9,8 @@ normalised values on the query's largest coordinates lie in the interval that co
 which keeps the longest vectors down to what the threshold needs. Products of what is left are verified exactly, k rows
 per query and bucket are returned, and ranked per query. Bounds have slack for rounding, so no result is lost.
 
-Defined results: a vector that is null, empty, or holds a null or non-finite component takes no part, as does a row
-without id; shorter vectors count as filled with zeros; of equal scores the smaller id comes first, then the lower
+Defined results: a vector that is null or holds a null or non-finite component takes no part, as does a row without id;
+shorter vectors, empty ones too, count as filled with zeros; of equal scores the smaller id comes first, then the lower
 address; a query is never its own candidate, but rows that repeat it are; with fewer than k candidates all are
 returned; scores beyond 64 bits are held at its limits; an empty table gives no rows; other columns are not read.
 """
@@ -44,7 +44,7 @@ def _quantised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = batch.column("v")
         keep, norms, vectors = [], [], []
         for k, (row, ident) in enumerate(zip(lists, batch.column("id"))):
-            if not row.is_valid or not ident.is_valid or not len(row) or row.values.null_count:
+            if not row.is_valid or not ident.is_valid or row.values.null_count:
                 continue
             v = np.floor(row.values.to_numpy(zero_copy_only=False).astype(np.float64) * SCALE)
             if np.isfinite(v).all():
@@ -66,7 +66,7 @@ def _pack(size: int):
         for line, v in zip(matrix, vectors):
             line[:len(v)] = v
         ids, files, places = (np.array([r[c] for r in rows], np.int64).tobytes() for c in ("id", FILE, ROW))
-        if np.abs(matrix).max() < 1 << 24:  # exact in half the space
+        if np.abs(matrix).max(initial=0) < 1 << 24:  # exact in half the space
             matrix = matrix.astype(np.float32)
         values = [max(r["norm"] for r in rows), len(rows), dims, ids, files, places, matrix.tobytes()]
         kinds = [pa.float64(), pa.int32(), pa.int32()] + [pa.binary()] * 4

@@ -17,7 +17,7 @@ NAN, INF = float("nan"), float("inf")
 
 def brute(rows, k):
     kept = [(i, n, [math.floor(256 * float(np.float32(x))) for x in v]) for n, (i, v) in enumerate(rows)
-            if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
     for qid, n, q in kept:
         if qid % 5 == 0:
@@ -45,6 +45,8 @@ def test_top_k_edges(spark):
     assert found(spark, []) == []
     assert found(spark, [(5, [1.0, 2.0])]) == []
     few = [(i, [float(i), 1.0]) for i in range(4)]
+    none = [(i, []) for i in range(7)]
+    assert found(spark, none) == brute(none, 5)
     assert found(spark, few) == brute(few, 5)
     huge = [(i, [float(i) * 1e12, 3.0e9, -7.0e8]) for i in range(9)]
     # Scores beyond 64 bits are held at its limits, where they tie.
