@@ -105,3 +105,29 @@ def test_scoring_input(spark):
 def test_slicers(spark, chosen, left):
     rows = staged(spark, {}, {"urban_or_rural_area": "Rural"})
     assert gate.in_any(rows, urban_or_rural_area=chosen).count() == left
+
+
+def test_many_repeats_leave_the_wide_rows_in_place(spark, monkeypatch):
+    from roadledger.operators import joins
+    from roadledger.operators.dedup import flag_repeats
+    from roadledger.session import written
+
+    monkeypatch.setattr(joins, "SMALL_TABLE", 0)  # as if no table were small
+    rows = written(spark.range(200_000).selectExpr(
+        "id % 50000 AS key", "-id AS arrival", "IF(id % 7 = 0, 'a', 'b') AS file", "id + 8589934592 * (id % 3) AS row", "repeat('x', 20) AS wide"), "r")
+    flagged = flag_repeats(rows, ["key"], ["arrival"], ["file", "row"])
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert flagged.groupBy("is_repeat").count().orderBy("is_repeat").collect() == [(False, 50_000), (True, 150_000)]
+    assert flagged.where("is_repeat <> (arrival > -150000)").isEmpty()
+
+
+def test_repeats_of_ids_with_nulls_or_copies(spark):
+    from roadledger.operators.dedup import flag_repeats, flag_repeats_by_join
+
+    held = [("a", 1, "f", 0), ("a", 2, "f", 1), ("a", 3, None, 2), ("b", 1, "f", None), ("b", 0, "g", 1), (None, 1, "g", 2), (None, 2, "g", 3)]
+    for rows in (held, held + [("c", 1, "f", 9), ("c", 2, "f", 10), ("c", 2, "f", 10)]):
+        df = spark.createDataFrame(rows, "key string, arrival int, file string, row bigint")
+        made = [f(df, ["key"], ["arrival"], ["file", "row"]).select(*df.columns, "is_repeat").collect()
+                for f in (flag_repeats, flag_repeats_by_join)]
+        assert sorted(map(str, made[0])) == sorted(map(str, made[1]))
