@@ -2,7 +2,8 @@
 
 Every round puts the next symbol (from the right) of every string into the transform: it fills the place the string's
 last suffix holds, and the counts of the symbol before that place say where the longer suffix belongs. The transform
-and the common prefixes live in two files that each round reads once to count and once to merge, block by block.
+and the common prefixes live in two files that each round reads once to count and once to merge, block by block. Files of
+small collections are kept in memory: every round writes them anew, which is hundreds of times their size.
 A prefix is the least of the prefixes since the symbol's previous place, plus one.
 """
 
@@ -10,33 +11,57 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, nullcontext
 
 import numpy as np
 
 #: Entries of the files that are in memory at a time.
 BLOCK = 1 << 20
+#: Symbols of a collection up to which its files are in memory; there are five, of a byte a symbol.
+HELD = 8 << 20
 #: Common prefixes are held in a byte and stop at this.
 MOST = 255
 _FAR = 1 << 30
 
 
 class Files:
-    """The two files of a collection, replaced as a whole every round."""
+    """The two files of a collection, replaced as a whole every round; on disk if ``folder`` names one."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str | None):
         self.folder, self.round = folder, 0
+        self.held: dict[str, bytearray] = {}
+
+    def _name(self, name: str, round_: int) -> str:
+        return f"{name}-{round_ % 2}"
+
+    def blocks(self, name: str, round_: int = 0, block: int = BLOCK) -> Iterator[np.ndarray]:
+        name = self._name(name, round_)
+        if self.folder is None:
+            held = np.frombuffer(self.held[name], np.uint8)
+            for low in range(0, len(held), block):
+                yield held[low:low + block].copy()
+            return
+        with open(os.path.join(self.folder, name), "rb") as file:
+            while len(part := np.fromfile(file, np.uint8, block)):
+                yield part
 
-    def path(self, name: str, round_: int) -> str:
-        return os.path.join(self.folder, f"{name}-{round_ % 2}")
+    @contextmanager
+    def replaced(self, name: str, round_: int = 0) -> Iterator[Callable[[bytes], object]]:
+        """Gives what writes the next part of the file."""
+        name = self._name(name, round_)
+        if self.folder is None:
+            self.held[name] = bytearray()
+            yield self.held[name].extend
+        else:
+            with open(os.path.join(self.folder, name), "wb") as file:
+                yield file.write
 
     def read(self, name: str, block: int = BLOCK) -> Iterator[np.ndarray]:
-        with open(self.path(name, self.round), "rb") as file:
-            while len(part := np.fromfile(file, np.uint8, block)):
-                yield part
+        return self.blocks(name, self.round, block)
 
     def whole(self, name: str) -> np.ndarray:
-        return np.fromfile(self.path(name, self.round), np.uint8)
+        return np.concatenate([np.zeros(0, np.uint8), *self.read(name)])
 
 
 def _least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -54,13 +79,12 @@ def _next_round(files: Files, place: np.ndarray, symbol: np.ndarray, block: int)
     rank, prefix = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
     later: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # symbol, rank, prefix of old suffixes after new ones
     base = first = 0
-    filled_path = os.path.join(files.folder, "filled")
-    with open(filled_path, "wb") as filled:
+    with files.replaced("filled") as fill:
         for text, common in zip(files.read("bwt", block), files.read("lcp", block)):
             last = first + int(np.searchsorted(place[first:], base + len(text)))
             at, new = place[first:last] - base, symbol[first:last]
             text[at] = new
-            filled.write(text.tobytes())
+            fill(text.tobytes())
             is_new = np.zeros(len(text), bool)
             is_new[at] = True
             order = np.argsort(text, kind="stable")
@@ -107,12 +131,12 @@ def _next_round(files: Files, place: np.ndarray, symbol: np.ndarray, block: int)
     new_place = offset[symbol] + rank
     kinds, ranks, prefixes = (np.concatenate(part) for part in zip(*later))
     changed = offset[kinds] + ranks
-    _merge(files, filled_path, new_place, prefix, changed, prefixes, block)
+    _merge(files, new_place, prefix, changed, prefixes, block)
     return new_place
 
 
-def _merge(files: Files, filled_path: str, new_place: np.ndarray, prefix: np.ndarray, changed: np.ndarray,
-           prefixes: np.ndarray, block: int) -> None:
+def _merge(files: Files, new_place: np.ndarray, prefix: np.ndarray, changed: np.ndarray, prefixes: np.ndarray,
+           block: int) -> None:
     """Writes the next pair of files: old entries in order, new ones at their places, changed prefixes replaced."""
     order = np.argsort(new_place, kind="stable")
     target, prefix = new_place[order], prefix[order].astype(np.uint8)
@@ -120,31 +144,30 @@ def _merge(files: Files, filled_path: str, new_place: np.ndarray, prefix: np.nda
     order = np.argsort(changed, kind="stable")
     changed, prefixes = changed[order], prefixes[order].astype(np.uint8)
     base = done = first = 0
-    with open(filled_path, "rb") as filled, open(files.path("bwt", files.round + 1), "wb") as bwt, \
-            open(files.path("lcp", files.round + 1), "wb") as lcp:
-        for common in files.read("lcp", block):
-            text = np.fromfile(filled, np.uint8, len(common))
+    with files.replaced("bwt", files.round + 1) as bwt, files.replaced("lcp", files.round + 1) as lcp:
+        for text, common in zip(files.blocks("filled", block=block), files.read("lcp", block)):
             end = base + len(common)
             last = first + int(np.searchsorted(before[first:], end))
             at = before[first:last] - base
             text, common = np.insert(text, at, 0), np.insert(common, at, prefix[first:last])
             low, high = np.searchsorted(changed, [done, done + len(common)])
             common[changed[low:high] - done] = prefixes[low:high]
-            bwt.write(text.tobytes())
-            lcp.write(common.tobytes())
+            bwt(text.tobytes())
+            lcp(common.tobytes())
             base, first, done = end, last, done + len(common)
         if first < len(target):
-            bwt.write(bytes(len(target) - first))
-            lcp.write(prefix[first:].tobytes())
+            bwt(bytes(len(target) - first))
+            lcp(prefix[first:].tobytes())
     files.round += 1
 
 
-def build(strings: list[bytes], folder: str, block: int = BLOCK) -> tuple[Files, np.ndarray]:
+def build(strings: list[bytes], folder: str | None, block: int = BLOCK) -> tuple[Files, np.ndarray]:
     """The files of a collection of strings (without the byte 0xFF), and the place of every whole string."""
     files = Files(folder)
     files.strings = len(strings)
-    np.zeros(len(strings), np.uint8).tofile(files.path("bwt", 0))
-    np.zeros(len(strings), np.uint8).tofile(files.path("lcp", 0))
+    for name in ("bwt", "lcp"):
+        with files.replaced(name) as write:
+            write(bytes(len(strings)))
     length = np.array([len(s) for s in strings], np.int64)
     joined = np.frombuffer(b"".join(strings), np.uint8)
     ends = np.cumsum(length)
@@ -162,12 +185,13 @@ def build(strings: list[bytes], folder: str, block: int = BLOCK) -> tuple[Files,
     return files, place
 
 
-def repeated_windows(strings: list[bytes], windows: np.ndarray, size: int, block: int = BLOCK) -> list[np.ndarray]:
+def repeated_windows(strings: list[bytes], windows: np.ndarray, size: int, block: int = BLOCK, held: int = HELD) -> list[np.ndarray]:
     """For each string and each of its first ``windows`` places: does the ``size``-byte string there start anywhere else
-    in the collection too."""
+    in the collection too. Collections of more than ``held`` symbols use files of the task's scratch folder."""
     if size > MOST:
         raise ValueError(f"common prefixes are held up to {MOST}")
-    with tempfile.TemporaryDirectory(prefix="bwt-") as folder:
+    small = sum(map(len, strings)) + len(strings) <= held
+    with nullcontext() if small else tempfile.TemporaryDirectory(prefix="bwt-") as folder:
         files, place = build(strings, folder, block)
         bwt, lcp = files.whole("bwt"), files.whole("lcp")
     far = np.append(lcp >= size, False)
