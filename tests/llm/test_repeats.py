@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tempfile
 from collections import Counter
 
 import numpy as np
@@ -39,6 +40,17 @@ def test_transform_and_common_prefixes(tmp_path, block):
                 assert flags.tolist() == [counts[s[i:i + size]] > 1 for i in range(len(s) - size + 1)]
 
 
+def test_small_collections_write_no_files_and_large_ones_give_the_same(monkeypatch):
+    pick = random.Random(2)
+    strings = [bytes(pick.choice(b"ab") for _ in range(30)) for _ in range(20)]
+    windows = np.array([26] * 20)
+    on_disk = repeated_windows(strings, windows, 5, held=0)
+    monkeypatch.setattr(tempfile, "TemporaryDirectory", None)  # cannot be called
+    assert [f.tolist() for f in repeated_windows(strings, windows, 5)] == [f.tolist() for f in on_disk]
+    with pytest.raises(TypeError):
+        repeated_windows(strings, windows, 5, held=0)
+
+
 def test_anchor_runs_cover_every_window_once():
     pick = random.Random(3)
     for _ in range(100):
