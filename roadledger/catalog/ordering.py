@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadledger.catalog.registry import query, table
+from roadledger.catalog.registry import file_of, query, table
 from roadledger.functions import calendar
 from roadledger.operators import aggregates, dedup, ordering
 from roadledger.plans.drift_job import reference_and_current
@@ -20,7 +20,8 @@ LINE_REST = "l_shipdate, l_extendedprice, l_partkey, l_suppkey, l_quantity, l_di
 @query("f_keep_first", f"""SELECT l_orderkey, l_linenumber, {LINE_REST} FROM (SELECT *, row_number() OVER (
   PARTITION BY l_orderkey, l_linenumber ORDER BY {", ".join(LINE_ORDER)}) AS rn FROM lineitem) WHERE rn = 1""")
 def keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    lines = table(spark, sf_dir, "lineitem")
+    lines = lines.select("*", file_of(lines).alias("file"), F.col("_metadata.row_index").alias("row"))
     return dedup.keep_first_by_id(lines, ["l_orderkey", "l_linenumber"], LINE_ORDER, ["file", "row"]).drop("file", "row")
 
 

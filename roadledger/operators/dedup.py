@@ -41,7 +41,7 @@ def flag_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str], row_i
     least = df.select(*dict.fromkeys([*keys, *order, *row_id])).groupBy(*keys).agg(
         F.min(F.struct(*order, *[c.alias(i) for i, c in ids.items()])).alias("_least"))
     firsts = least.select(*[F.col(f"_least.{i}").alias(c) for i, c in zip(ids, row_id)])
-    marked = written(row_bits(firsts, row_id, F.expr("bitmap_construct_agg(_at)").alias("_bits")), "first_bits")
+    marked = written(row_bits(firsts, row_id), "first_bits")
     if marked.count() * BITS_LENGTH > BITS_BYTES:
         return flag_repeats_by_join(df, keys, order, row_id, name)
     *rest, last = row_id
@@ -75,27 +75,35 @@ def flag_repeats_by_join(df: DataFrame, keys: Sequence[str], order: Sequence[str
 BITS_BYTES, BITS_LENGTH = 64 << 20, 4096
 
 
-def row_bits(rows: DataFrame, row_id: Sequence[str], *sums: Column) -> DataFrame:
-    """Sums over the places (``_at``) of row ids, the last column a whole number, by bitmaps of 32,768 numbers: the other
-    columns, ``_bucket`` and the sums. Ids are brought together before they become bits, as the bits of a few ids would
-    be larger than those."""
+def id_words(rows: DataFrame, row_id: Sequence[str]) -> DataFrame:
+    """Row ids, the last column a whole number, as bits: the other columns, ``_bucket`` (32,768 numbers), ``_word`` (64 of
+    them), ``_word_bits`` and the number of ``_rows``. Ids are brought together before they become bits, as the bits of a few
+    ids would be larger than those. A word is a number, so words are added up in a hash table and no id is sorted."""
     *rest, last = row_id
+    at = f"bitmap_bit_position(`{last}`)"
     placed = rows.dropna(subset=list(row_id)).select(
-        *rest, F.expr(f"bitmap_bucket_number(`{last}`)").alias("_bucket"), F.expr(f"bitmap_bit_position(`{last}`)").alias("_at"))
-    return placed.repartition(*rest, "_bucket").groupBy(*rest, "_bucket").agg(*sums)
+        *rest, F.expr(f"bitmap_bucket_number(`{last}`)").alias("_bucket"), F.expr(f"CAST({at} AS INT)").alias("_at"))
+    return placed.repartition(*rest, "_bucket").groupBy(*rest, "_bucket", F.expr("CAST(_at div 64 AS INT)").alias("_word")).agg(
+        F.expr("bit_or(shiftleft(1L, _at % 64))").alias("_word_bits"), F.count("*").alias("_rows"))
+
+
+def row_bits(rows: DataFrame, row_id: Sequence[str]) -> DataFrame:
+    """Bitmaps of row ids: the other columns, ``_bucket`` and ``_bits``, the words of its 32,768 numbers in order."""
+    words = id_words(rows, row_id).groupBy(*row_id[:-1], "_bucket").agg(
+        F.map_from_entries(F.collect_list(F.struct("_word", "_word_bits"))).alias("_words"))
+    bits = F.transform(F.sequence(F.lit(0), F.lit(BITS_LENGTH // 8 - 1)), lambda w: F.coalesce(F.try_element_at("_words", w), F.lit(0).cast("bigint")))
+    return words.select(*row_id[:-1], "_bucket", bits.alias("_bits"))
 
 
 def unique_ids(rows: DataFrame, row_id: Sequence[str]) -> bool:
     """Whether no row id without nulls comes twice; true of none."""
-    held = row_bits(rows, row_id, F.expr("bitmap_count(bitmap_construct_agg(_at))").alias("ids"), F.count("*").alias("rows"))
-    return held.where("rows > ids").isEmpty()
+    return id_words(rows, row_id).where("_rows > bit_count(_word_bits)").isEmpty()
 
 
 def has_bit(bits: str, number: str) -> Column:
     """Whether the bit of a number is set in its bitmap; null without a bitmap."""
     at = f"bitmap_bit_position(`{number}`)"
-    byte = f"CAST(conv(hex(substring({bits}, CAST({at} div 8 AS INT) + 1, 1)), 16, 10) AS INT)"
-    return F.expr(f"getbit({byte}, CAST({at} % 8 AS INT)) = 1")
+    return F.expr(f"getbit({bits}[CAST({at} div 64 AS INT)], CAST({at} % 64 AS INT)) = 1")
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

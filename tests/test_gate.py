@@ -131,3 +131,25 @@ def test_repeats_of_ids_with_nulls_or_copies(spark):
         made = [f(df, ["key"], ["arrival"], ["file", "row"]).select(*df.columns, "is_repeat").collect()
                 for f in (flag_repeats, flag_repeats_by_join)]
         assert sorted(map(str, made[0])) == sorted(map(str, made[1]))
+
+
+def test_row_ids_are_narrow_and_are_not_sorted(spark, tmp_path):
+    """Numbers of files instead of their paths, and bits that are added up as numbers: sorts of ids spilled at size."""
+    from roadledger.catalog.registry import file_of
+    from roadledger.operators.dedup import has_bit, id_words, row_bits, unique_ids
+
+    for number, name in enumerate(["b c", "a"]):
+        spark.range(3).selectExpr(f"id + 10 * {number} AS id").coalesce(1).write.parquet(f"{tmp_path}/t/part={name}")
+    rows = spark.read.schema("id bigint").parquet(f"{tmp_path}/t")
+    assert {(r["n"], r["id"] // 10) for r in rows.select(file_of(rows).alias("n"), "id").collect()} == {(1, 1), (2, 0)}
+    assert [r.n for r in rows.where("false").select(file_of(rows.where("false")).alias("n")).collect()] == []
+
+    numbers = [0, 1, 63, 64, 127, 32766, 32767, 32768, 32769, 65536, 8589934592 * 3 + 5, None]
+    ids = spark.createDataFrame([(f, n) for f in (1, 2, None) for n in numbers], "f bigint, n bigint")
+    assert "SortAggregate" not in id_words(ids, ["f", "n"])._jdf.queryExecution().toString()
+    assert unique_ids(ids, ["f", "n"]) and not unique_ids(ids.unionAll(ids.where("f = 2 AND n = 64")), ["f", "n"])
+    kept = ids.where("n % 2 = 0 OR f = 2")
+    bits = row_bits(kept, ["f", "n"]).withColumnRenamed("f", "g")
+    found = ids.dropna().join(bits, F.expr("f = g AND bitmap_bucket_number(n) = _bucket"), "left")
+    marked = found.select("f", "n", F.coalesce(has_bit("_bits", "n"), F.lit(False)).alias("there")).collect()
+    assert len(marked) == 22 and all(r["there"] == (r["n"] % 2 == 0 or r["f"] == 2) for r in marked)
