@@ -20,10 +20,10 @@ from roadledger.streaming.keyed_state import SeenKeys
 def already_known(rows: DataFrame, seen: SeenKeys, epoch: int, batch_id: str) -> DataFrame:
     """``rows`` with ``is_known``: whether the key was accepted in another batch.
 
-    The keys of this micro-batch are looked up in the state store; only the hits are joined to the rows. A null
-    key equals a null key, as in the batch gate.
+    The keys of this micro-batch, of which the rows that are no repeats hold each once, are looked up in the state
+    store; only the hits are joined to the rows. A null key equals a null key, as in the batch gate.
     """
-    hits = seen.held_elsewhere(rows.select(seen.key), epoch, batch_id)
+    hits = seen.held_elsewhere(rows.where("NOT is_repeat").select(seen.key), epoch, batch_id)
     return sized_join(rows, hits.withColumn("is_known", F.lit(True)), [seen.key], "left", null_safe=True).withColumn(
         "is_known", F.coalesce("is_known", F.lit(False)))
 
