@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadledger.catalog.registry import file_of, table
+from roadledger.operators.joins import NARROW_TABLE, sent_if_small
 from roadledger.schemas import severity_rows
 
 ISO_DAY = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
@@ -69,12 +70,18 @@ FEED_SQL = "SELECT " + ", ".join(f"{e} AS {c}" for c, e in {**FEED, **ARRIVAL}.i
 
 
 def feed_columns(lines: DataFrame, spark: SparkSession, sf_dir: str, carried: list[str]) -> DataFrame:
-    """Lines (a batch or a stream) joined to the tables that describe them, as incidents."""
-    joined = (lines.join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+    """Lines (a batch or a stream) joined to the tables that describe them, as incidents.
+
+    A join that is shuffled moves whole lines with all that earlier ones have added. So what adds least goes first and
+    orders, which add most, last; of suppliers only the nation's key travels, its names are looked up at the end.
+    """
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    nations, regions = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    joined = (lines.join(sent_if_small(suppliers, NARROW_TABLE), F.expr("l_suppkey = s_suppkey"))
               .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
-              .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
-              .join(table(spark, sf_dir, "nation"), F.expr("s_nationkey = n_nationkey"))
-              .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")))
+              .join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+              .join(sent_if_small(nations), F.expr("s_nationkey = n_nationkey"))
+              .join(sent_if_small(regions), F.expr("n_regionkey = r_regionkey")))
     return joined.selectExpr(*[f"{e} AS {c}" for c, e in {**FEED, **ARRIVAL}.items()], *carried)
 
 

@@ -19,11 +19,18 @@ HOT_KEY_LIMIT = 256
 SALTS = 64
 # Rows and (file) bytes a stored table may have to be broadcast.
 SMALL_TABLE, SMALL_BYTES = 200_000, 16 << 20
+# Rows of a table of two numbers, which takes some 70 bytes a row where it is sent.
+NARROW_TABLE = 1_000_000
 
 
-def is_small(table: DataFrame) -> bool:
+def is_small(table: DataFrame, rows: int = SMALL_TABLE) -> bool:
     """Whether a stored table may be sent to every task."""
-    return planned_bytes(table) <= SMALL_BYTES and table.count() <= SMALL_TABLE
+    return planned_bytes(table) <= SMALL_BYTES and table.count() <= rows
+
+
+def sent_if_small(table: DataFrame, rows: int = SMALL_TABLE) -> DataFrame:
+    """A stored table, marked to be broadcast if it is small, whatever size Spark itself would broadcast."""
+    return F.broadcast(table) if is_small(table, rows) else table
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], sample: float = 0.01) -> list[tuple]:
