@@ -9,7 +9,8 @@ and loses no pair, because an edit of letters outside the choice leaves the orde
 Pairs with an equal signature are verified by their edit distance in the join itself; only verified pairs become rows.
 
 Words are counted per task before their shuffle. A form always has at least twice the word's count, so chains of forms
-are short; pointer jumping follows them in a few joins.
+are short; pointer jumping follows them in a few joins. Spark plans a table of signatures by the files of the words, some
+fiftieth of what it holds in memory, and would broadcast it; so all joins here are shuffled by name, whatever size is planned.
 
 Defined results: null texts have no words; a null id is empty text in the checksum of the noise; ties of counts go to
 the word first in code-point order; an empty table, or one without words, gives no rows; other columns are neither read
@@ -39,6 +40,8 @@ PARTS = 8
 DOMINANCE = 2
 #: Different words that a task counts before it passes them on, and rows with texts sent to Python at a time.
 COUNTED, TEXT_ROWS = 200_000, 1000
+#: A join of sorted shuffled sides, which AQE does not turn into a broadcast either.
+SHUFFLED = "merge"
 
 
 def _counter(every: int | None):
@@ -112,7 +115,7 @@ def near_words(words: DataFrame, parts: int = PARTS) -> DataFrame:
     ends = [signed.select("choice", "kept", F.col("word").alias(end), F.col("n").alias(f"{end}_n")) for end in ("a", "b")]
     one_edit = F.levenshtein("a", "b", 1) == 1
     close = F.abs(F.char_length("a") - F.char_length("b")) <= 1
-    return written(ends[0].join(ends[1], ["choice", "kept"]).where((F.col("a") < F.col("b")) & close & one_edit)
+    return written(ends[0].join(ends[1].hint(SHUFFLED), ["choice", "kept"]).where((F.col("a") < F.col("b")) & close & one_edit)
                    .select("a", "a_n", "b", "b_n").distinct(), "near-words")
 
 
@@ -122,7 +125,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     at = written(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         onward = at.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        ahead = written(at.join(onward, "root", "left").select(
+        ahead = written(at.join(onward.hint(SHUFFLED), "root", "left").select(
             "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         dropped(spark, at)
         at = ahead
@@ -137,11 +140,11 @@ def spelling_groups(words: DataFrame, dominance: int = DOMINANCE, parts: int = P
         pairs.select(F.col("b").alias("word"), F.col("a").alias("other"), F.col("a_n").alias("other_n")))
     near = both.groupBy("word").agg(F.count("*").alias("n_near"),
                                     F.min(F.struct((-F.col("other_n")).alias("low"), "other")).alias("best"))
-    held = written(words.join(near, "word", "left").withColumn(
+    held = written(words.join(near.hint(SHUFFLED), "word", "left").withColumn(
         "chosen", -F.col("best.low") >= dominance * F.col("n")).select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"),
         F.when(F.col("chosen"), F.col("best.other")).alias("form"), F.when(F.col("chosen"), -F.col("best.low")).alias("form_n")),
         "forms")
     roots = _roots(held.where("form IS NOT NULL"))
-    return held.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near",
+    return held.join(roots.hint(SHUFFLED), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near",
                                                    "form_n")

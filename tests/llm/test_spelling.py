@@ -8,6 +8,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from cases import awkward_rows, table
+from roadledger.llm import spelling
 from roadledger.llm.spelling import letter_parts, near_words, signatures, spelling_groups, word_counts
 
 
@@ -80,3 +81,18 @@ def test_no_pair_is_lost_whatever_the_parts(spark):
     held = letter_parts(rows, 8)
     assert sorted("".join(held)) == sorted(set("".join(words)))
     assert rows.select(F.size(signatures(F.col("word"), held))).first()[0] == 28
+
+
+def test_nothing_is_broadcast_by_its_planned_size(spark, monkeypatch):
+    words, plans, write = counted(variants(8), None), [], spelling.written
+
+    def kept(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+
+    rows = write(spark.createDataFrame(list(words.items()), "word string, n bigint"), "words")
+    monkeypatch.setattr(spelling, "written", kept)
+    found = spelling_groups(rows)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sorted(map(tuple, found.select("word", "form", "root", "n", "n_near", "form_n").collect())) == by_hand(words)
+    assert sum("SortMergeJoin" in plan for plan in plans) >= 4 and not any("Broadcast" in plan for plan in plans)
